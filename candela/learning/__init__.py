@@ -1,0 +1 @@
+"""MLlib models on the feature frame."""

@@ -1,0 +1 @@
+"""Structured Streaming jobs: article intake, rolling sentiment, live scoring."""
