@@ -2,70 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.timeline import BLK, KEEP, blocked, block_window
+from candela.session import materialize
+from candela.timeline import BLK, KEEP, blocked
 
 MODES = ("reference", "causal", "forward", "none")
 
 
-def fill_within_blocks(df: DataFrame, columns: list[str], sort: tuple[str, ...] = ()) -> DataFrame:
-    """Carry values forward inside each block and drop the rows the block does not own.
+def fill_within_blocks(
+    df: DataFrame, output: list[str], columns: list[str], sort: str = "timestamp"
+) -> DataFrame:
+    """Carry ``columns`` forward inside each block and keep the rows the block owns.
 
     Values are taken from kept rows only: a copied row may have seen too little history.
     """
-    so_far = block_window(*sort).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns(
-        {
-            c: F.last(F.when(F.col(KEEP), F.col(c)), ignorenulls=True).over(so_far)
-            for c in columns
-        }
-    ).where(F.col(KEEP))
+    w = f"partition by ticker, {BLK} order by {sort} rows between unbounded preceding and current row"
+
+    def carried(c: str) -> str:
+        return f"last_value(case when {KEEP} then {c} end) ignore nulls over ({w}) as {c}"
+
+    filled = [carried(c) if c in columns else c for c in [*output, KEEP]]
+    needed = dict.fromkeys([*output, "ticker", *sort.split(", "), BLK, KEEP])
+    return df.select(*needed).selectExpr(*filled).where(KEEP).select(*output)
 
 
 def fill_across_blocks(df: DataFrame, columns: list[str], mode: str) -> DataFrame:
-    """Finish the fill from one summary row per block.
+    """Finish the fill from one row per block.
 
-    Within a block the value at the last row is the block's last known one, and the first non-NULL
-    value is its first known one. The first known value of a ticker is what a backward fill puts
-    into every row before it.
+    The last row of a block already holds the block's last known values. The first known value of a
+    ticker is what a backward fill puts into every row before it. ``df`` is read three times, so it
+    should be a stored table.
     """
     if mode not in MODES:
         raise ValueError(f"fill mode must be one of {MODES}")
     if mode == "none" or not columns:
         return df
-    backward = mode == "reference"
-    aggs = [F.max_by(c, "timestamp").alias(f"_l_{c}") for c in columns]
-    if backward:
-        aggs += [
-            F.min_by(c, F.when(F.col(c).isNotNull(), F.col("timestamp"))).alias(f"_f_{c}")
-            for c in columns
-        ]
-    series = Window.partitionBy("ticker").orderBy(BLK)
-    before = series.rowsBetween(Window.unboundedPreceding, -1)
-    whole = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = f"partition by ticker order by {BLK} rows between unbounded preceding and 1 preceding"
+    ends = df.groupBy("ticker", BLK).agg(F.max("timestamp").alias("timestamp"))
     carry = (
-        df.groupBy("ticker", BLK)
-        .agg(*aggs)
-        .select(
+        df.select("ticker", BLK, "timestamp", *columns)
+        .join(ends, ["ticker", BLK, "timestamp"], "left_semi")
+        .selectExpr(
             "ticker",
             BLK,
-            *(F.last(f"_l_{c}", True).over(before).alias(f"_l_{c}") for c in columns),
-            *(F.first(f"_f_{c}", True).over(whole).alias(f"_f_{c}") for c in columns if backward),
+            *(f"last_value({c}) ignore nulls over ({before}) as _l_{c}" for c in columns),
         )
     )
+    out = df.join(carry, ["ticker", BLK])
+    if mode == "reference":
+        firsts = [
+            f"min_by({c}, case when {c} is not null then timestamp end) as _f_{c}" for c in columns
+        ]
+        out = out.join(df.groupBy("ticker").agg(*map(F.expr, firsts)), "ticker")
+    kinds = dict(df.dtypes)
 
-    def filled(c: str) -> Column:
-        options = [F.col(c), F.col(f"_l_{c}")]
-        if backward:
-            options.append(F.col(f"_f_{c}"))
+    def filled(c: str) -> str:
+        options = [c, f"_l_{c}"]
+        if mode == "reference":
+            options.append(f"_f_{c}")
         if mode != "forward":
-            options.append(F.lit(0).cast(df.schema[c].dataType))
-        return F.coalesce(*options)
+            options.append(f"cast(0 as {kinds[c]})")
+        return f"coalesce({', '.join(options)}) as {c}"
 
-    return df.join(carry, ["ticker", BLK]).select(
-        *((filled(c).alias(c) if c in columns else F.col(c)) for c in df.columns)
+    return out.selectExpr(
+        *(filled(c) if c in columns else c for c in df.columns)
     )
 
 
@@ -77,5 +79,5 @@ def fill_series(
     ``reference`` fills forward, backward, then with 0; ``causal`` skips the backward step, which
     would copy later values into earlier rows; ``forward`` only carries values on.
     """
-    local = fill_within_blocks(blocked(df, **layout), columns)
-    return fill_across_blocks(local, columns, mode).select(*df.columns)
+    local = fill_within_blocks(blocked(df, **layout), [*df.columns, BLK], columns)
+    return fill_across_blocks(materialize(local, "fill"), columns, mode).select(*df.columns)

@@ -1,17 +1,17 @@
 """Technical indicators of daily or intraday bars.
 
-Every function takes bars laid out by :func:`candela.timeline.blocked` and adds columns. All of
-them share one partitioning and one sort, so asking for all 24 columns costs one shuffle.
+Each family lists its columns as SQL expressions in levels; a level reads only columns of earlier
+ones. The levels of all wanted families are merged, so 24 columns cost one shuffle and a handful of
+window passes, and a rolling value two families need is computed once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from candela.timeline import BLK, KEEP, LAYOUT, POS, blocked, block_window
+from candela.timeline import BLK, KEEP, POS, blocked
 
 SMA_WINDOWS = (5, 10, 20, 50)
 EMA_SPANS = (12, 26)
@@ -26,189 +26,204 @@ _EWM_ROWS = 1024
 _SUB = "_sub"
 
 
-def rolling(
-    agg: Callable[[Column], Column], column: str | Column, n: int, w: WindowSpec
-) -> Column:
-    """``agg`` of the last ``n`` rows; NULL until all ``n`` hold a value."""
-    c = F.col(column) if isinstance(column, str) else column
-    frame = w.rowsBetween(-(n - 1), 0)
-    return F.when(F.count(c).over(frame) == n, agg(c).over(frame))
+@dataclass(frozen=True)
+class Family:
+    history: int
+    outputs: list[str]
+    levels: dict[int, dict[str, str]] = field(default_factory=dict)
 
 
-def add_sma(df: DataFrame, w: WindowSpec) -> DataFrame:
-    return df.withColumns({f"sma_{n}": rolling(F.avg, "close", n, w) for n in SMA_WINDOWS})
+def _frame(n: int) -> str:
+    return f"({{w}} rows between {n - 1} preceding and current row)"
 
 
-def _ewm(df: DataFrame, outputs: dict[str, tuple[str, int]]) -> DataFrame:
-    """Bias-adjusted exponential means: ``sum r^k x[t-k] / sum r^k`` with ``r = 1 - 2/(span+1)``.
+_SO_FAR = "({w} rows between unbounded preceding and current row)"
+
+
+def _rolling(agg: str, column: str, n: int, out: str) -> dict[int, dict[str, str]]:
+    """``out`` is NULL unless the last ``n`` rows exist and all hold a value.
+
+    Missing values are counted along the way, which is cheaper than counting inside each frame.
+    """
+    gaps, before = f"_gaps_{column}", f"_gaps_{column}_{n}"
+    value = f"_{agg}_{column}_{n}"
+    return {
+        0: {gaps: f"count_if({column} is null) over {_SO_FAR}"},
+        2: {
+            before: f"lag({gaps}, {n}) over ({{w}})",
+            value: f"{agg}({column}) over {_frame(n)}",
+        },
+        3: {out: f"case when {POS} >= {n - 1} and {gaps} = coalesce({before}, 0) then {value} end"},
+    }
+
+
+def _ewm(column: str, span: int, out: str, level: int) -> dict[int, dict[str, str]]:
+    """Bias-adjusted exponential mean: ``sum r^k x[t-k] / sum r^k`` with ``r = 1 - 2/(span+1)``.
 
     A running sum of ``x * r^-i`` would overflow on a long series, so ``i`` restarts every 1024
     rows and the sum of the previous stretch is carried in with weight ``r^(i+1)``. Stretches
     further back weigh less than 1e-34.
     """
-    decay = {out: 1 - 2 / (span + 1) for out, (_, span) in outputs.items()}
-    i = F.pmod(F.col(POS), F.lit(_EWM_ROWS))
+    r = f"{1 - 2 / (span + 1)!r}D"
+    i = f"({POS} % {_EWM_ROWS})"
     stretch = (
-        Window.partitionBy("ticker", BLK, _SUB)
-        .orderBy("timestamp")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    before = block_window(_SUB).rowsBetween(Window.unboundedPreceding, -1)
-    df = df.withColumns(
-        {
-            f"_run_{out}": F.pow(F.lit(decay[out]), i)
-            * F.sum(F.col(c) * F.pow(F.lit(decay[out]), -i)).over(stretch)
-            for out, (c, _) in outputs.items()
-        }
-    )
-    df = df.withColumns(
-        {
-            f"_carry_{out}": F.last(
-                F.when(i == _EWM_ROWS - 1, F.col(f"_run_{out}")), ignorenulls=True
-            ).over(before)
-            for out in outputs
-        }
-    )
-    df = df.withColumns(
-        {
-            out: (
-                F.col(f"_run_{out}")
-                + F.pow(F.lit(r), i + 1) * F.coalesce(f"_carry_{out}", F.lit(0.0))
-            )
-            * (1 - r)
-            / (1 - F.pow(F.lit(r), F.col(POS) + 1))
-            for out, r in decay.items()
-        }
+        f"(partition by ticker, {BLK}, {_SUB} order by timestamp"
+        " rows between unbounded preceding and current row)"
     )
-    return df.drop(*(f"{p}_{out}" for p in ("_run", "_carry") for out in outputs))
+    run, carry = f"_run_{out}", f"_carry_{out}"
+    return {
+        level: {run: f"power({r}, {i}) * sum({column} * power({r}, -{i})) over {stretch}"},
+        level + 1: {
+            carry: f"last_value(case when {i} = {_EWM_ROWS - 1} then {run} end) ignore nulls"
+            " over ({w} rows between unbounded preceding and 1 preceding)"
+        },
+        level + 2: {
+            out: f"({run} + power({r}, {i} + 1) * coalesce({carry}, 0D)) * (1 - {r})"
+            f" / (1 - power({r}, {POS} + 1))"
+        },
+    }
 
 
-def add_ema(df: DataFrame, w: WindowSpec) -> DataFrame:
-    return _ewm(df, {f"ema_{n}": ("close", n) for n in EMA_SPANS})
+def _merge(*parts: dict[int, dict[str, str]]) -> dict[int, dict[str, str]]:
+    out: dict[int, dict[str, str]] = {}
+    for part in parts:
+        for level, columns in part.items():
+            out.setdefault(level, {}).update(columns)
+    return out
 
 
-def add_macd(df: DataFrame, w: WindowSpec) -> DataFrame:
-    fast, slow = (f"ema_{n}" for n in EMA_SPANS)
-    df = _ewm(
-        df.withColumn("macd", F.col(fast) - F.col(slow)), {"macd_signal": ("macd", SIGNAL_SPAN)}
-    )
-    return df.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+def _sma() -> Family:
+    parts = [_rolling("avg", "close", n, f"sma_{n}") for n in SMA_WINDOWS]
+    return Family(max(SMA_WINDOWS), [f"sma_{n}" for n in SMA_WINDOWS], _merge(*parts))
 
 
-def add_rsi(df: DataFrame, w: WindowSpec) -> DataFrame:
-    """RSI from plain rolling means; the first bar counts as no change."""
-    df = df.withColumn("_delta", F.coalesce(F.col("close") - F.lag("close").over(w), F.lit(0.0)))
-    zero = F.lit(0.0)
-    df = df.withColumns(
-        {
-            "_gain": rolling(F.avg, F.greatest("_delta", zero), RSI_WINDOW, w),
-            "_loss": rolling(F.avg, F.greatest(-F.col("_delta"), zero), RSI_WINDOW, w),
-        }
-    )
-    ratio = F.try_divide(F.col("_gain"), F.col("_loss"))
-    rsi = F.when(F.col("_loss") > 0, 100 - 100 / (1 + ratio)).when(F.col("_gain") > 0, F.lit(100.0))
-    return df.withColumn("rsi", rsi).drop("_delta", "_gain", "_loss")
+def _ema() -> Family:
+    # The running sums belong to level 1, so that their carry shares the pass of level 2.
+    parts = [_ewm("close", n, f"ema_{n}", 1) for n in EMA_SPANS]
+    return Family(EWM_HISTORY, [f"ema_{n}" for n in EMA_SPANS], _merge(*parts))
 
 
-def add_bollinger(df: DataFrame, w: WindowSpec) -> DataFrame:
-    df = df.withColumns(
-        {
-            "bb_middle": rolling(F.avg, "close", BAND_WINDOW, w),
-            "_dev": rolling(F.stddev_samp, "close", BAND_WINDOW, w),
-        }
-    )
-    df = df.withColumns(
-        {
-            "bb_upper": F.col("bb_middle") + 2 * F.col("_dev"),
-            "bb_lower": F.col("bb_middle") - 2 * F.col("_dev"),
-        }
+def _macd() -> Family:
+    fast, slow = EMA_SPANS
+    signal = _ewm("macd", SIGNAL_SPAN, "macd_signal", 5)
+    levels = _merge({4: {"macd": f"ema_{fast} - ema_{slow}"}}, signal)
+    levels[8] = {"macd_histogram": "macd - macd_signal"}
+    return Family(EWM_HISTORY, ["macd", "macd_signal", "macd_histogram"], levels)
+
+
+def _rsi() -> Family:
+    """RSI from plain rolling means; the first bar counts as no change."""
+    n = RSI_WINDOW
+    levels = {
+        0: {"_delta": "coalesce(close - lag(close) over ({w}), 0D)"},
+        1: {"_rise": "greatest(_delta, 0D)", "_fall": "greatest(-_delta, 0D)"},
+        2: {
+            "_gain": f"avg(_rise) over {_frame(n)}",
+            "_loss": f"avg(_fall) over {_frame(n)}",
+        },
+        3: {
+            "rsi": f"""case when {POS} < {n - 1} then null
+                when _loss > 0 then 100 - 100 / (1 + _gain / _loss)
+                when _gain > 0 then 100D end"""
+        },
+    }
+    return Family(n + 1, ["rsi"], levels)
+
+
+def _bollinger() -> Family:
+    n = BAND_WINDOW
+    levels = _merge(
+        _rolling("avg", "close", n, "bb_middle"), _rolling("stddev_samp", "close", n, "_band")
     )
-    width = F.col("bb_upper") - F.col("bb_lower")
-    return df.withColumns(
-        {
-            "bb_width": width,
-            "bb_position": F.try_divide(F.col("close") - F.col("bb_lower"), width),
-        }
-    ).drop("_dev")
+    levels[4] = {"bb_upper": "bb_middle + 2 * _band", "bb_lower": "bb_middle - 2 * _band"}
+    levels[5] = {
+        "bb_width": "bb_upper - bb_lower",
+        "bb_position": "try_divide(close - bb_lower, bb_upper - bb_lower)",
+    }
+    outputs = ["bb_middle", "bb_upper", "bb_lower", "bb_width", "bb_position"]
+    return Family(n, outputs, levels)
 
 
-def add_pct_change(df: DataFrame, w: WindowSpec) -> DataFrame:
+def _pct_change() -> Family:
     """Change over 1, 5 and 10 rows; a missing close counts as the last known one."""
-    known = F.last("close", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    df = df.withColumn("_known", known)
-    return df.withColumns(
-        {
-            name: F.try_divide(
-                F.col("_known") - F.lag("_known", k).over(w), F.lag("_known", k).over(w)
-            )
-            for name, k in CHANGE_STEPS.items()
-        }
-    ).drop("_known")
+    levels = {
+        0: {"_known": f"last_value(close) ignore nulls over {_SO_FAR}"},
+        2: {f"_known_{k}": f"lag(_known, {k}) over ({{w}})" for k in CHANGE_STEPS.values()},
+        3: {
+            name: f"try_divide(_known - _known_{k}, _known_{k})" for name, k in CHANGE_STEPS.items()
+        },
+    }
+    return Family(max(CHANGE_STEPS.values()), list(CHANGE_STEPS), levels)
 
 
-def add_volume(df: DataFrame, w: WindowSpec) -> DataFrame:
-    df = df.withColumn("volume_sma", rolling(F.avg, "volume", BAND_WINDOW, w))
-    return df.withColumn("volume_ratio", F.try_divide("volume", "volume_sma"))
+def _volume() -> Family:
+    levels = _rolling("avg", "volume", BAND_WINDOW, "volume_sma")
+    levels[4] = {"volume_ratio": "try_divide(volume, volume_sma)"}
+    return Family(BAND_WINDOW, ["volume_sma", "volume_ratio"], levels)
 
 
-def add_volatility(df: DataFrame, w: WindowSpec) -> DataFrame:
-    return df.withColumns(
-        {f"volatility_{n}d": rolling(F.stddev_samp, "close", n, w) for n in (5, 20)}
-    )
+def _volatility() -> Family:
+    parts = [_rolling("stddev_samp", "close", n, f"volatility_{n}d") for n in (5, 20)]
+    return Family(20, ["volatility_5d", "volatility_20d"], _merge(*parts))
 
 
-def add_spreads(df: DataFrame, w: WindowSpec | None = None) -> DataFrame:
-    return df.withColumns(
-        {
-            "hl_spread": F.try_divide(F.col("high") - F.col("low"), F.col("close")),
-            "oc_spread": F.try_divide(F.col("close") - F.col("open"), F.col("open")),
+def _spreads() -> Family:
+    levels = {
+        3: {
+            "hl_spread": "try_divide(high - low, close)",
+            "oc_spread": "try_divide(close - open, open)",
         }
-    )
-
-
-# name -> (function, rows of history it reads, columns it adds)
-_FAMILIES: dict[str, tuple[Callable, int, list[str]]] = {
-    "sma": (add_sma, max(SMA_WINDOWS), [f"sma_{n}" for n in SMA_WINDOWS]),
-    "ema": (add_ema, EWM_HISTORY, [f"ema_{n}" for n in EMA_SPANS]),
-    "macd": (add_macd, EWM_HISTORY, ["macd", "macd_signal", "macd_histogram"]),
-    "rsi": (add_rsi, RSI_WINDOW + 1, ["rsi"]),
-    "bollinger": (
-        add_bollinger,
-        BAND_WINDOW,
-        ["bb_middle", "bb_upper", "bb_lower", "bb_width", "bb_position"],
-    ),
-    "pct_change": (add_pct_change, max(CHANGE_STEPS.values()), list(CHANGE_STEPS)),
-    "volume": (add_volume, BAND_WINDOW, ["volume_sma", "volume_ratio"]),
-    "volatility": (add_volatility, BAND_WINDOW, ["volatility_5d", "volatility_20d"]),
-    "spreads": (add_spreads, 0, ["hl_spread", "oc_spread"]),
+    }
+    return Family(0, ["hl_spread", "oc_spread"], levels)
+
+
+_FAMILIES: dict[str, Family] = {
+    "sma": _sma(),
+    "ema": _ema(),
+    "macd": _macd(),
+    "rsi": _rsi(),
+    "bollinger": _bollinger(),
+    "pct_change": _pct_change(),
+    "volume": _volume(),
+    "volatility": _volatility(),
+    "spreads": _spreads(),
 }
 FAMILIES = list(_FAMILIES)
-INDICATOR_COLUMNS = [c for _, _, columns in _FAMILIES.values() for c in columns]
+INDICATOR_COLUMNS = [c for f in _FAMILIES.values() for c in f.outputs]
 
 
-def add_families(df: DataFrame, names: list[str]) -> tuple[DataFrame, WindowSpec]:
-    """Add the named families to blocked bars; also return the window they were sorted by."""
-    names = [n for n in FAMILIES if n in names or (n == "ema" and "macd" in names)]
-    if "ema" in names:
-        df = df.withColumn(_SUB, F.floor(F.col(POS) / _EWM_ROWS))
-        w = block_window(_SUB)
-    else:
-        w = block_window()
-    for name in names:
-        df = _FAMILIES[name][0](df, w)
-    return df, w
+def history_rows(names: list[str]) -> int:
+    return max(_FAMILIES[n].history for n in names)
 
 
-def history_rows(names: list[str]) -> int:
-    return max(_FAMILIES[n][1] for n in names)
+def sort_order(names: list[str]) -> str:
+    """Sort columns of the block windows; exponential means also sort by stretch."""
+    return f"{_SUB}, timestamp" if {"ema", "macd"} & set(names) else "timestamp"
+
+
+def add_families(
+    df: DataFrame, names: list[str], extra: dict[str, str] | None = None
+) -> DataFrame:
+    """Add the named families to blocked bars.
+
+    ``extra`` holds more window expressions over the input columns, with ``{w}`` for the window;
+    they are computed in the same pass.
+    """
+    chosen = [f for n, f in _FAMILIES.items() if n in names or (n == "ema" and "macd" in names)]
+    levels = _merge(*(f.levels for f in chosen), {0: extra or {}})
+    if _SUB in sort_order(names):
+        df = df.selectExpr("*", f"cast(floor({POS} / {_EWM_ROWS}) as bigint) as {_SUB}")
+    w = f"partition by ticker, {BLK} order by {sort_order(names)}"
+    for level in sorted(levels):
+        columns = [f"{text.format(w=w)} as {name}" for name, text in levels[level].items()]
+        if columns:
+            df = df.selectExpr("*", *columns)
+    return df
 
 
 def indicators(bars: DataFrame, names: list[str] | None = None, **layout: int) -> DataFrame:
     """Bars plus the columns of the named families (all of them by default)."""
     names = FAMILIES if names is None else names
-    wanted = [c for n in FAMILIES if n in names for c in _FAMILIES[n][2]]
-    df, _ = add_families(blocked(bars, back=history_rows(names), **layout), names)
-    return df.where(F.col(KEEP)).select(*bars.columns, *wanted)
-
-
-__all__ = ["indicators", "add_families", "history_rows", "rolling", "INDICATOR_COLUMNS", "LAYOUT"]
+    wanted = [c for n, f in _FAMILIES.items() if n in names for c in f.outputs]
+    df = add_families(blocked(bars, back=history_rows(names), **layout), names)
+    return df.where(KEEP).select(*bars.columns, *wanted)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.timeline import slice_id
@@ -55,57 +57,44 @@ def sentiment_window(
         F.max("_hi").alias("_hi"),
         F.min("_lo").alias("_lo"),
     ]
-    stats = ["_n", "_s", "_q", "_hi", "_lo"]
 
     # End 0 reads a slice forwards from its start, end 1 backwards from its end. At equal times a
     # forward probe comes before the articles and a backward probe after them.
-    def group(end: int, axis, rank: int, is_bar: bool, source: DataFrame) -> DataFrame:
-        values = (
-            [F.lit(None).cast("long").alias("_n"), *(zero.alias(c) for c in stats[1:])]
-            if is_bar
-            else [F.col(c) for c in stats]
-        )
-        stamp = F.col("_bar") if is_bar else F.lit(None).cast("timestamp").alias("_bar")
-        return source.select(
-            "ticker",
-            "_sl",
-            F.lit(end).alias("_end"),
-            axis.alias("_axis"),
-            F.lit(rank).alias("_rank"),
-            stamp,
-            *values,
+    def entry(end: int, sl: Column, axis: Column, rank: int) -> Column:
+        return F.struct(
+            F.lit(end).alias("_end"), sl.alias("_sl"), axis.alias("_axis"), F.lit(rank).alias("_rank")
         )
 
+    def lane(source: DataFrame, *entries: Column) -> DataFrame:
+        listed = source.select("*", F.explode(F.array(*entries)).alias("_e")).drop("_sl", "_at")
+        return listed.select("*", "_e.*").drop("_e")
+
+    sl = F.col("_sl")
     probes = bars.select(
         "ticker", F.col("timestamp").alias("_bar"), F.unix_micros("timestamp").alias("_at")
     )
-    first = probes.withColumn("_at", at - span).withColumn("_sl", slice_id(at, width))
-    last = probes.withColumn("_sl", slice_id(at, width))
+    first, last = slice_id(at - span, width), slice_id(at, width)
     parts = [
-        group(0, at, 1, False, points),
-        group(1, -at, 1, False, points),
-        group(0, at, 0, True, last),
-        group(1, -at, 2, True, first),
+        lane(points, entry(0, sl, at, 1), entry(1, sl, -at, 1)),
+        lane(probes, entry(0, last, at, 0), entry(1, first, span - at, 2)),
     ]
     if slices > 1:
         between = (
             points.groupBy("ticker", "_sl")
             .agg(*sums)
-            .withColumn("_sl", F.explode(F.sequence(F.col("_sl") + 1, F.col("_sl") + (slices - 1))))
+            .withColumn("_sl", F.explode(F.sequence(sl + 1, sl + (slices - 1))))
             .groupBy("ticker", "_sl")
             .agg(*sums)
         )
-        parts.append(group(0, F.col("_sl") * width - 1, 0, False, between))
-    lane = parts[0]
-    for part in parts[1:]:
-        lane = lane.unionByName(part)
+        parts.append(lane(between, entry(0, sl, sl * width - 1, 0)))
+    lanes = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
     seen = (
         Window.partitionBy("ticker", "_sl", "_end")
         .orderBy("_axis", "_rank")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    halves = lane.select(
+    halves = lanes.select(
         "ticker",
         "_bar",
         F.sum("_n").over(seen).alias("_n"),

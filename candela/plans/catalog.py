@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from candela.plans.fixtures import Tables, with_views
 
@@ -19,13 +18,13 @@ def presentable(df: DataFrame) -> DataFrame:
     """Round doubles and drop the zone of timestamps, as the comparison SQL does."""
     columns = []
     for name, kind in df.dtypes:
-        c = F.col(f"`{name}`")
+        c = f"`{name}`"
         if kind == "double":
-            c = F.round(c, DIGITS) + F.lit(0.0)
+            c = f"round({c}, {DIGITS}) + 0.0D"
         elif kind == "timestamp":
-            c = c.cast("timestamp_ntz")
-        columns.append(c.alias(name))
-    return df.select(*columns)
+            c = f"cast({c} as timestamp_ntz)"
+        columns.append(f"{c} as `{name}`")
+    return df.selectExpr(*columns)
 
 
 def query(name: str, sql: str | None = None):

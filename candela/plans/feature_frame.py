@@ -9,11 +9,11 @@ from candela.functions.calendar_features import TIME_COLUMNS, add_time_features
 from candela.operators.asof import align_fundamentals, exact_price
 from candela.operators.fill import fill_across_blocks, fill_within_blocks
 from candela.operators.indicators import (
-    _SUB,
     FAMILIES,
     INDICATOR_COLUMNS,
     add_families,
     history_rows,
+    sort_order,
 )
 from candela.operators.sentiment import SENTIMENT_COLUMNS, sentiment_window, without_news
 from candela.schemas import BARS, OHLCV, STATEMENT_VALUES, require_columns
@@ -74,13 +74,16 @@ def feature_frame(
     else:
         df = df.join(align_fundamentals(keys, fundamentals, reports), ["ticker", "timestamp"], "left")
 
-    back = history_rows(FAMILIES)
-    df, w = add_families(
-        blocked(df, back=back, ahead=horizon, index_of=keys, **layout), FAMILIES
-    )
-    df = add_time_features(df)
-    known = F.lead(target, horizon).over(w) if target in df.columns else F.lit(None).cast("double")
-    df = df.withColumn("target", known)
+    ahead_value = None
+    if target in df.columns:
+        ahead_value = {"target": f"lead({target}, {horizon}) over ({{w}})"}
+    placed = blocked(df, back=history_rows(FAMILIES), ahead=horizon, index_of=keys, **layout)
+    df = add_time_features(add_families(placed, FAMILIES, ahead_value))
+    if target in INDICATOR_COLUMNS:
+        w = f"partition by ticker, {BLK} order by {sort_order(FAMILIES)}"
+        df = df.selectExpr("*", f"lead({target}, {horizon}) over ({w}) as target")
+    elif ahead_value is None:
+        df = df.withColumn("target", F.lit(None).cast("double"))
     if mode == "train":
         df = df.withColumn(KEEP, F.col(KEEP) & F.col("target").isNotNull())
 
@@ -95,12 +98,13 @@ def feature_frame(
         *TIME_COLUMNS,
         "target",
     ]
-    may_lack = [*INDICATOR_COLUMNS, *SENTIMENT_COLUMNS, "latest_price", *reports]
+    may_lack = [c for c in INDICATOR_COLUMNS if not c.startswith(("ema", "macd"))]
+    may_lack += ["sentiment_std", "latest_price", *reports]
     if fill == "none":
         return df.where(F.col(KEEP)).select(*columns)
-    local = fill_within_blocks(df, may_lack, (_SUB,)).select(BLK, *columns)
-    table = materialize(local, "features")
-    return fill_across_blocks(table, may_lack, fill).select(*columns)
+    sort = sort_order(FAMILIES)
+    local = fill_within_blocks(df, [*columns, BLK], may_lack, sort)
+    return fill_across_blocks(materialize(local, "features"), may_lack, fill).select(*columns)
 
 
 def decompose(features: DataFrame) -> dict[str, DataFrame]:

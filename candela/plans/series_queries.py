@@ -287,7 +287,7 @@ def asof_fundamentals(t):
 
 @query(
     "asof_price_on_news",
-    f"""select n.uuid, n.ticker, n.published_at, {rounded("sentiment")}, date_trunc('day', n.published_at)
+    f"""select n.uuid, n.ticker, n.published_at, {rounded("sentiment")}, cast(n.published_at as date)
   as price_date, {rnd("b.close", "close_on_price_date")}
 from news_d n asof left join bars_d b on n.ticker = b.ticker
   and date_trunc('day', n.published_at) >= b.timestamp""",

@@ -538,7 +538,7 @@ HEALTH_SQL = "least(100, " + " + ".join(
 ) + ")"
 
 IMPACT_SQL = f"""scored as (select *, cast({HEALTH_SQL} as int) as h from fund_growth),
-impact as (select ticker, report_date, h as financial_health_score, round((h - 50)*2, 1) + 0.0 as stock_impact_score,
+impact as (select ticker, report_date, h as financial_health_score, cast((h - 50)*2 as double) as stock_impact_score,
   case when h >= 85 then 'STRONGLY_POSITIVE' when h >= 70 then 'POSITIVE' when h >= 55 then 'SLIGHTLY_POSITIVE'
     when h >= 40 then 'NEUTRAL' when h >= 25 then 'NEGATIVE' else 'STRONGLY_NEGATIVE' end as stock_impact_label,
   case when h >= 85 then '+5% to +10%' when h >= 70 then '+2% to +5%' when h >= 55 then '0% to +2%'

@@ -13,6 +13,8 @@ _RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A block and its history fit in memory, so windows need not go through the spilling buffer.
+    "spark.sql.windowExec.buffer.in.memory.threshold": "32768",
 }
 
 _local_dir: str | None = None
@@ -33,6 +35,8 @@ def local_session(cpus: str = "*", name: str = "candela", **extra: str) -> Spark
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
+        # Little data but costly windows: keep all local cores busy.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in extra.items():
         builder = builder.config(key, value)

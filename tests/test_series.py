@@ -85,12 +85,15 @@ def test_padded_percent_change(spark):
 
 
 def test_ewm_golden(spark):
-    from candela.operators.indicators import _SUB, _ewm
+    from candela.operators.indicators import _ewm
     from candela.timeline import blocked
 
     df = spark.sql("""select timestamp'2024-01-01' + make_dt_interval(0,0,i) as timestamp, 'X' as ticker,
         x from values (0, 10d), (1, 11d), (2, 12d), (3, 11d), (4, 13d) as t(i, x)""")
-    out = _ewm(blocked(df).withColumn(_SUB, F.lit(0)), {"e": ("x", 3)})
+    out = blocked(df).withColumn("_sub", F.lit(0))
+    for columns in _ewm("x", 3, "e", 0).values():
+        w = "partition by ticker, _blk order by timestamp"
+        out = out.selectExpr("*", *(f"{text.format(w=w)} as {c}" for c, text in columns.items()))
     want = [10, 10.666666666666666, 11.428571428571429, 11.2, 12.129032258064516]
     np.testing.assert_allclose(by_key(out)["e"], want, rtol=1e-14)
 
