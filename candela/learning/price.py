@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela.operators.labels import latest_rows, time_split
 from candela.operators.metrics import mean_prediction, regression_metrics
 from candela.plans.feature_frame import feature_columns, valid_rows
+from candela.session import materialize
 
 # The default parameters of each family.
 FAMILY_PARAMS = {
@@ -44,6 +47,13 @@ def _regressor(family: str, label: str, out: str, early_stop: bool, params: dict
     return GBTRegressor(**common, **settings)
 
 
+def fit_all(jobs: list[tuple]) -> list:
+    """Fit independent learners side by side; each one alone leaves much of a cluster idle."""
+    with ThreadPool(len(jobs)) as pool:
+        run = inheritable_thread_target(SparkSession.active())(lambda job: job[0].fit(job[1]))
+        return pool.map(run, jobs)
+
+
 class PriceModel:
     """One family, or the mean of several, fitted on all tickers together.
 
@@ -75,13 +85,14 @@ class PriceModel:
         stop = self.early_stop and self.validation > 0
         assembler = _features_assembler(self.features)
         rows = assembler.transform(data).select("features", target, VALIDATION)
+        rows = materialize(rows, "training")
         train = rows.where(~F.col(VALIDATION))
-        stages = [assembler]
+        jobs = []
         for family in self.families:
             stops = stop and family != "forest"
             learner = _regressor(family, target, self._out(family), stops, self.params.get(family))
-            stages.append(learner.fit(rows if stops else train))
-        self.model = PipelineModel(stages)
+            jobs.append((learner, rows if stops else train))
+        self.model = PipelineModel([assembler, *fit_all(jobs)])
         return self
 
     def predict(self, frame: DataFrame) -> DataFrame:
@@ -129,8 +140,6 @@ class PriceModel:
 
 def _write_note(path: str, note: dict) -> None:
     """Settings next to the model, in the same file system."""
-    from pyspark.sql import SparkSession
-
     spark = SparkSession.active()
     spark.createDataFrame([(json.dumps(note),)], "value string").coalesce(1).write.mode(
         "overwrite"

@@ -10,7 +10,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.learning.price import VALIDATION, _read_note, _write_note
+from candela.learning.price import VALIDATION, _read_note, _write_note, fit_all
 from candela.operators.labels import (
     HOLD,
     MAX_HOLDING,
@@ -23,6 +23,7 @@ from candela.operators.labels import (
 from candela.operators.metrics import trading_metrics
 from candela.operators.recommend import post_process, recommendations, signal_code
 from candela.plans.feature_frame import feature_columns
+from candela.session import materialize
 
 LABEL_COLUMNS = ["signal", "position_size", "timing_minutes", "profit"]
 HEADS = {"position_size": "raw_position", "timing_minutes": "raw_timing", "profit": "raw_profit"}
@@ -77,6 +78,7 @@ class TradingModel:
             inputCols=self.features, outputCol="features", handleInvalid="error"
         )
         rows = assembler.transform(data).select("features", *LABEL_COLUMNS)
+        rows = materialize(rows, "training")
         counts = rows.agg(
             F.count_if(F.col("signal") != HOLD).alias("signal"),
             F.count_if(F.col("position_size") > 0).alias("position_size"),
@@ -97,15 +99,15 @@ class TradingModel:
             probabilityCol="_probability",
             rawPredictionCol="_votes",
             **self.signal_params,
-        ).fit(signal_rows)
-        stages = [assembler, signal]
+        )
+        jobs = [(signal, signal_rows)]
         for column, out in HEADS.items():
             wanted = F.col(column) != 0 if column == "profit" else F.col(column) > 0
             learner = GBTRegressor(
                 featuresCol="features", labelCol=column, predictionCol=out, **self.head_params
             )
-            stages.append(learner.fit(subset(column, wanted)))
-        self.model = PipelineModel(stages)
+            jobs.append((learner, subset(column, wanted)))
+        self.model = PipelineModel([assembler, *fit_all(jobs)])
         return self
 
     def predict(self, frame: DataFrame) -> DataFrame:

@@ -72,8 +72,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+# The default text format of timestamps drops microseconds.
+_STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    options = {"header": "true", "escape": '"', "timestampFormat": _STAMP}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -81,11 +86,15 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def append_by_month(df: DataFrame, path: str, ts: str = "published_at") -> None:
-    """Add a batch to a table partitioned by ticker and month."""
-    df.withColumn("month", F.date_format(ts, "yyyy-MM")).write.mode("append").partitionBy(
+    """Add a batch to a table partitioned by ticker and month.
+
+    Rebalancing gathers each folder's rows into few files and still splits a folder that is large.
+    """
+    dated = df.withColumn("month", F.date_format(ts, "yyyy-MM"))
+    dated.hint("rebalance", "ticker", "month").write.mode("append").partitionBy(
         "ticker", "month"
     ).parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").option("timestampFormat", _STAMP).json(path)
