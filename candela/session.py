@@ -35,6 +35,8 @@ def local_session(cpus: str = "*", name: str = "candela", **extra: str) -> Spark
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
+        # A feature frame has more generated classes than the default cache of 100 holds.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         # Little data but costly windows: keep all local cores busy.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
