@@ -13,6 +13,9 @@ _RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A filled frame has dozens of computed columns; deriving filters from all their combinations
+    # takes the optimizer minutes. Filters the jobs need are written out.
+    "spark.sql.constraintPropagation.enabled": "false",
     # A block and its history fit in memory, so windows need not go through the spilling buffer.
     "spark.sql.windowExec.buffer.in.memory.threshold": "32768",
 }
