@@ -62,13 +62,19 @@ def test_hold_only_series_trains_on_everything(spark, bars):
     assert [r.signal for r in predicted] == ["HOLD"]
 
 
+class Session:
+    """Just enough of a session to ask it for its shared folder."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder or default)})
+
+
 def test_shared_folder_follows_the_session(spark):
     assert new_path(spark, "x").startswith(shared_dir(spark))
-    spark.conf.set("spark.checkpoint.dir", "file:///tmp/candela-shared/")
-    try:
-        assert shared_dir(spark) == "file:///tmp/candela-shared"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+    assert shared_dir(Session("spark://host:7077", "hdfs://nn/shared/")) == "hdfs://nn/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session("spark://host:7077", None))
 
 
 @pytest.mark.parametrize("name", ["sma", "trade_labels", "stream_articles", "stream_sentiment", "news_from_json",
