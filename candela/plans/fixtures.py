@@ -6,6 +6,7 @@ SQL, in dependency order, for the comparison queries.
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -337,8 +338,6 @@ from news_h where uuid % 17 <> 0""",
 
 def with_views(sql: str) -> str:
     """``sql`` with the views it uses put in front."""
-    import re
-
     used: list[str] = []
 
     def visit(text: str) -> None:

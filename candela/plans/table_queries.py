@@ -6,14 +6,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from candela import schemas
 from candela.functions.scoring import add_scores, add_stock_impact, health_score
 from candela.functions.values import local_to_utc, parse_utc, to_number
 from candela.operators import clean, days, metrics, nested, recommend, statements, summary
+from candela.operators.labels import latest_rows
 from candela.operators.quantiles import exact_quantiles
 from candela.operators.sentiment import sentiment_window
 from candela.plans.catalog import query, rnd, rounded
-from candela.plans.series_queries import SENTIMENT_SQL
+from candela.plans.series_queries import LABEL_SQL, SENTIMENT_SQL
 from candela.schemas import OHLCV, STATEMENT_VALUES
 
 KEYS = ("ticker", "timestamp")
@@ -326,7 +326,6 @@ def fundamentals_pivot(t):
 
 # Days and sets
 
-_SPAN = "select unnest(generate_series(date '{}', date '{}', interval 1 day)) as day"
 _DAYS_H = """every as (select cast(unnest(generate_series(min(cast(published_at as date)),
   max(cast(published_at as date)), interval 1 day)) as date) as day from news_h)"""
 
@@ -580,9 +579,7 @@ def score_trend(t):
     return summary.score_trend(add_scores(t.fund_growth))
 
 
-# Predictions and metrics. LABEL_SQL is imported late to keep the series queries first.
-
-from candela.plans.series_queries import LABEL_SQL  # noqa: E402
+# Predictions and metrics
 
 PREDICTION_SQL = f"""{LABEL_SQL},
 pred as (select *, close*(1 + (rn*37 % 11 - 5)/1000) as pred_a, close*(1 + (rn*17 % 7 - 3)/1000) as pred_b,
@@ -701,8 +698,6 @@ select ticker, {rnd("close", "current_price")}, name as signal, name as action,
   {rnd("close*pred_position_size", "total_investment")}, {rnd("raw_confidence", "confidence")} from last""",
 )
 def recommendation(t):
-    from candela.operators.labels import latest_rows
-
     last = latest_rows(_post(t).drop("close"))
     out = recommend.recommendations(last, clean.latest_price(t.bars_h))
     return out.select(
@@ -719,6 +714,3 @@ def recommendation(t):
         "total_investment",
         "confidence",
     )
-
-
-__all__ = ["schemas"]
