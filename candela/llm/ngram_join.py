@@ -32,6 +32,8 @@ MOST_MATCHES = 8
 FREQUENT, SEEN = 1 << 15, 8
 #: A token held by more documents than this is split into several hub groups.
 HUB_ROWS = 100_000
+#: Pairs of texts held at once.
+PAIRS = 256
 SIGNATURE = 1024  # bytes at most, 8192 bits
 
 
@@ -61,7 +63,7 @@ def _frequent(batches):
     """(token, n) of the shingles that many documents of this task hold."""
     kept_t, kept_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for batch in batches:
-        for _, data, offsets in blocks(batch.column("text"), 8 << 20):
+        for _, data, offsets in blocks(batch.column("text"), 2 << 20):
             tokens, n = np.unique(shingle_sets(data, offsets)[0], return_counts=True)
             some = n >= 2
             kept_t, back = np.unique(np.concatenate([kept_t, tokens[some]]), return_inverse=True)
@@ -163,17 +165,18 @@ def _passes(batches):
 
 def _alike(batches):
     """Pairs whose whole texts have a Jaccard similarity of 3/4 at least."""
-    for batch in batches:
-        parts = []
-        for name in ("text_a", "text_b"):
-            sets = []
-            for _, data, offsets in blocks(batch.column(name)):
-                tokens, first = shingle_sets(data, offsets)
-                sets += [tokens[i:j] for i, j in zip(first[:-1], first[1:], strict=True)]
-            parts.append(sets)
-        ok = [100 * (both := len(np.intersect1d(x, y, True))) >= 75 * (len(x) + len(y) - both) for x, y in zip(*parts, strict=True)]
-        kept = pa.array(np.flatnonzero(ok))
-        yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept)], names=["a", "b"])
+    for whole in batches:
+        for at in range(0, len(whole), PAIRS):
+            batch, parts = whole.slice(at, PAIRS), []
+            for name in ("text_a", "text_b"):
+                sets = []
+                for _, data, offsets in blocks(batch.column(name)):
+                    tokens, first = shingle_sets(data, offsets)
+                    sets += [tokens[i:j] for i, j in zip(first[:-1], first[1:], strict=True)]
+                parts.append(sets)
+            ok = [100 * (both := len(np.intersect1d(x, y, True))) >= 75 * (len(x) + len(y) - both) for x, y in zip(*parts, strict=True)]
+            kept = pa.array(np.flatnonzero(ok))
+            yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept)], names=["a", "b"])
 
 
 def _verified(pairs: DataFrame, index: DataFrame, texts: DataFrame, label: str) -> DataFrame:

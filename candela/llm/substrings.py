@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 from candela.llm.words import BLOCK_BYTES, SPACED, Words, blocks, grams, mix, sliding_min, spaced
 
 #: Words of a minimiser.
-GROUP = 4
+GROUP = 3
 #: Minimisers are counted in this many cells.
 CELLS = 1 << 14
 #: Windows of a bucket, about; at 200 bytes each a bucket fits easily into a Python worker.
 BUCKET_WINDOWS = 400_000
 #: Bytes of text whose repeats are settled before the shuffle.
-SETTLED_BYTES = 4 * BLOCK_BYTES
+SETTLED_BYTES = 3 * BLOCK_BYTES
 
 NO_ID = -(2**63)
 
@@ -117,17 +117,32 @@ def _spans(begin: np.ndarray, row: np.ndarray, window: int):
     return row[heads], begin[heads], begin[tails] + window
 
 
+_CODEC = pa.Codec("zstd", compression_level=3)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, which compress better."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(raw: bytes, kind, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T.copy().view(kind).ravel()
+
+
 def _pack(ids, tags, starts, sizes, text: bytes) -> bytes:
-    raw = struct.pack("<q", len(ids)) + ids.tobytes() + tags.tobytes() + starts.astype(np.int32).tobytes() + sizes.astype(np.int32).tobytes()
-    return struct.pack("<q", len(raw) + len(text)) + pa.compress(raw + text, codec="zstd", asbytes=True)
+    """One packed string: ids as steps, tags, starts, numbers of windows, words."""
+    raw = struct.pack("<q", len(ids)) + _planes(np.diff(ids, prepend=0)) + tags.tobytes() + _planes(starts.astype(np.int32)) + _planes(sizes.astype(np.int32)) + text
+    return struct.pack("<q", len(raw)) + _CODEC.compress(raw, asbytes=True)
 
 
 def _unpack(blob: bytes):
-    raw = pa.decompress(blob[8:], struct.unpack("<q", blob[:8])[0], codec="zstd", asbytes=True)
+    raw = _CODEC.decompress(blob[8:], struct.unpack("<q", blob[:8])[0], asbytes=True)
     n = struct.unpack("<q", raw[:8])[0]
-    ids, tags = np.frombuffer(raw, np.int64, 2 * n, 8).reshape(2, n)
-    starts, sizes = np.frombuffer(raw, np.int32, 2 * n, 8 + 16 * n).reshape(2, n)
-    return ids, tags, starts, sizes, raw[8 + 24 * n :]
+    ids = np.cumsum(_from_planes(raw, np.int64, n, 8))
+    tags = np.frombuffer(raw, np.int32, n, 8 + 8 * n)
+    starts, sizes = (_from_planes(raw, np.int32, n, 8 + k * n) for k in (12, 16))
+    return ids, tags, starts, sizes, raw[8 + 20 * n :]
 
 
 def _rows(ids, tags, spans) -> pa.RecordBatch:
@@ -140,7 +155,7 @@ def _rows(ids, tags, spans) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids[used]), pa.array(tags[used]), lists], names=["_id", "_tag", "spans"])
 
 
-_SEND = "bucket long, _id long, _tag long, spans array<int>, packed binary"
+_SEND = "bucket long, _id long, _tag int, spans array<int>, packed binary"
 
 
 def _send(layout, window):
@@ -198,7 +213,7 @@ def _send(layout, window):
             numbers.append(int(bucket[part[0]]))
             packed.append(_pack(ids[row[part]], tags[row[part]], at[part], tails[a:b] - part + 1, b"\n".join(slices[a:b])))
         none = len(numbers)
-        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.list_(pa.int32())), pa.array(packed, pa.binary())], schema=SENT)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.list_(pa.int32())), pa.array(packed, pa.binary())], schema=SENT)
 
     def run(batches):
         place = layout.value
@@ -212,7 +227,7 @@ def _send(layout, window):
 
 
 SENT = pa.schema(
-    [("bucket", pa.int64()), ("_id", pa.int64()), ("_tag", pa.int64()), ("spans", pa.list_(pa.int32())), ("packed", pa.binary())]
+    [("bucket", pa.int64()), ("_id", pa.int64()), ("_tag", pa.int32()), ("spans", pa.list_(pa.int32())), ("packed", pa.binary())]
 )
 
 
@@ -245,7 +260,7 @@ def _sort_bucket(window):
 
 
 def _identity() -> list[Column]:
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64("text").alias("_tag")]
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.hash("text").alias("_tag")]
 
 
 def repeated_spans(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -262,7 +277,7 @@ def repeated_spans(docs: DataFrame, window: int = 20) -> DataFrame:
     sent = docs.select(*_identity(), "text").mapInArrow(_send(layout, window), _SEND)
     return (
         sent.groupBy("bucket")
-        .applyInArrow(_sort_bucket(window), "_id long, _tag long, spans array<int>")
+        .applyInArrow(_sort_bucket(window), "_id long, _tag int, spans array<int>")
         .groupBy("_id", "_tag")
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
