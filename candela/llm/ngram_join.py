@@ -7,9 +7,10 @@ picks the m with the least estimated cost: entries written plus candidates expec
 known counts of frequent shingles.
 
 Pairs come in two passes, so that a group of copies never yields all its pairs. The first pairs each
-document with one hub per prefix shingle. The second takes only pairs whose documents the first left
-in different components. Both are sieved by a bound on the sets' difference, from parity bitmaps of
-about two bits a shingle, before whole texts are compared.
+document with the most central ones that share a prefix shingle. The second takes only pairs whose
+documents the first left in different components. Both are sieved by a bound on the sets'
+difference, from parity bitmaps of about two bits a shingle; then shared prefix shingles are counted,
+and whole texts compared.
 """
 
 from __future__ import annotations
@@ -28,10 +29,16 @@ WORDS = 5
 PAIR_COST = 20.0
 #: Most shingles asked for; longer prefixes never pay.
 MOST_MATCHES = 8
-#: Frequent shingles known by their counts: at most this many, each seen this often in one task.
-FREQUENT, SEEN = 1 << 15, 8
+#: Frequent shingles known by their counts: at most this many, each seen this often among so many
+#: shingles of one task. The counts only order shingles and weigh costs; no pair depends on them.
+FREQUENT, SEEN, COUNTED = 1 << 17, 2, 1 << 22
+#: Turns of the first pass, hubs of a group and tries of a document in a turn, and the part (one in so many) of
+#: a document's prefix that a hub must share. The second pass takes whatever the first leaves apart.
+HUB_TURNS, HUBS, EVIDENCE = 1, 2, 6
 #: A token held by more documents than this is split into several hub groups.
 HUB_ROWS = 100_000
+#: Groups of more documents are cut by size.
+LARGE = 2000
 #: Pairs of texts held at once.
 PAIRS = 256
 SIGNATURE = 1024  # bytes at most, 8192 bits
@@ -60,20 +67,26 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _frequent(batches):
-    """(token, n) of the shingles that many documents of this task hold."""
-    kept_t, kept_n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    """(token, n) of the shingles that several documents of this task hold."""
+
+    def counted(parts):
+        tokens = np.concatenate(parts)
+        tokens.sort()
+        heads = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+        n = np.diff(np.append(heads, len(tokens)))
+        some = n >= SEEN
+        return pa.RecordBatch.from_arrays([pa.array(tokens[heads[some]].view(np.int64)), pa.array(n[some])], names=["token", "n"])
+
+    held, size = [], 0
     for batch in batches:
-        for _, data, offsets in blocks(batch.column("text"), 2 << 20):
-            tokens, n = np.unique(shingle_sets(data, offsets)[0], return_counts=True)
-            some = n >= 2
-            kept_t, back = np.unique(np.concatenate([kept_t, tokens[some]]), return_inverse=True)
-            kept_n = np.bincount(back, np.concatenate([kept_n, n[some]]), len(kept_t)).astype(np.int64)
-            if len(kept_t) > 4 * FREQUENT:
-                top = np.argsort(-kept_n, kind="stable")[: 2 * FREQUENT]
-                top.sort()
-                kept_t, kept_n = kept_t[top], kept_n[top]
-    some = kept_n >= SEEN
-    yield pa.RecordBatch.from_arrays([pa.array(kept_t[some].view(np.int64)), pa.array(kept_n[some])], names=["token", "n"])
+        for _, data, offsets in blocks(batch.column("text")):
+            held.append(shingle_sets(data, offsets)[0])
+            size += len(held[-1])
+            if size >= COUNTED:
+                yield counted(held)
+                held, size = [], 0
+    if size:
+        yield counted(held)
 
 
 def prefix_choice(counts: np.ndarray) -> tuple[int, int]:
@@ -110,14 +123,14 @@ def least_difference(a: bytes, b: bytes) -> int:
 def _index(known):
     def run(batches):
         hot, hot_n = known.value
-        sieve = np.zeros(1 << 20, bool)
-        sieve[(hot & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        sieve = np.zeros(1 << 21, bool)
+        sieve[(hot & np.uint64((1 << 21) - 1)).astype(np.int64)] = True
         for batch in batches:
             n_out, set_key, set_key2, matches, prefix, signature = [], [], [], [], [], []
             for _, data, offsets in blocks(batch.column("text")):
                 tokens, first = shingle_sets(data, offsets)
                 count = np.ones(len(tokens), np.int64)
-                maybe = np.flatnonzero(sieve[(tokens & np.uint64((1 << 20) - 1)).astype(np.int64)])
+                maybe = np.flatnonzero(sieve[(tokens & np.uint64((1 << 21) - 1)).astype(np.int64)])
                 if len(maybe):
                     place = np.minimum(np.searchsorted(hot, tokens[maybe]), len(hot) - 1)
                     same = hot[place] == tokens[maybe]
@@ -152,17 +165,46 @@ def _index(known):
 
 
 def _passes(batches):
-    """Pairs that size, matches and signatures allow."""
+    """Pairs that size and signatures allow."""
     for batch in batches:
-        na, nb, seen, ma, mb = (batch.column(c).to_numpy() for c in ("n_a", "n_b", "seen", "m_a", "m_b"))
+        na, nb = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
         a, b = batch.column("s_a"), batch.column("s_b")
-        ok = (4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)) & (seen >= np.minimum(ma, mb))
+        ok = 4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)
         for i in np.flatnonzero(ok):
             ok[i] = 7 * least_difference(a[i].as_py(), b[i].as_py()) <= na[i] + nb[i]
         kept = pa.array(np.flatnonzero(ok))
         yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept)], names=["a", "b"])
 
 
+def _near(n, component, guest, signatures):
+    """Index pairs (i, j) of a group that size and signatures allow, of different components; in blocks."""
+    size = np.array([len(s) for s in signatures])
+    for length in np.unique(size):
+        some = np.flatnonzero((size == length) | (size == 2 * length))
+        bits = np.frombuffer(b"".join(signatures[i] if size[i] == length else (np.bitwise_xor.reduce(np.frombuffer(signatures[i], np.uint8).reshape(2, -1), axis=0)).tobytes() for i in some), np.uint64).reshape(len(some), -1)
+        step = max(1, (1 << 19) // max(1, len(some) * bits.shape[1]))
+        for at in range(0, len(some), step):
+            part = some[at : at + step]
+            x, y = part[:, None], some[None, :]
+            # Of two equally long signatures the pair is met twice, of a longer and a shorter one once.
+            ok = (component[x] != component[y]) & (size[x] == length) & ((size[y] > length) | (x < y)) & ~(guest[x] & guest[y])
+            ok &= 4 * np.minimum(n[x], n[y]) >= 3 * np.maximum(n[x], n[y])
+            if not ok.any():
+                continue
+            apart = np.zeros(ok.shape, np.int64)
+            for w in range(bits.shape[1]):
+                apart += np.bitwise_count(bits[at : at + step, w][:, None] ^ bits[None, :, w])
+            i, j = np.nonzero(ok & (7 * apart <= n[x] + n[y]))
+            yield part[i], some[j]
+
+
+def _near_in_group(table: pa.Table) -> pa.Table:
+    node, n, component, guest = (table.column(c).to_numpy() for c in ("node", "n", "component", "guest"))
+    pairs = list(_near(n, component, guest, table.column("signature").to_pylist()))
+    i, j = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.int64) for k in (0, 1))
+    return pa.table({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])})
+
+
 def _alike(batches):
     """Pairs whose whole texts have a Jaccard similarity of 3/4 at least."""
     for whole in batches:
@@ -179,17 +221,34 @@ def _alike(batches):
             yield pa.RecordBatch.from_arrays([batch.column("a").take(kept), batch.column("b").take(kept)], names=["a", "b"])
 
 
-def _verified(pairs: DataFrame, index: DataFrame, texts: DataFrame, label: str) -> DataFrame:
-    """The pairs (a, b, seen) that are links."""
-    side = lambda x: index.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("matches").alias(f"m_{x}"), F.col("signature").alias(f"s_{x}"))
-    sieved = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_passes, "a long, b long"), f"{label}-sieved")
-    needed = sieved.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sieved(pairs: DataFrame, index: DataFrame) -> DataFrame:
+    side = lambda x: index.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_passes, "a long, b long")
+
+
+def _matched(pairs: DataFrame, index: DataFrame) -> DataFrame:
+    """Pairs that share as many prefix shingles as the shorter of their prefixes asks for."""
+    side = lambda x: index.select(F.col("node").alias(x), F.col("matches").alias(f"m_{x}"), F.col("prefix").alias(f"p_{x}"))
+    both = materialize(pairs, "rest-near").join(side("a"), "a").join(side("b"), "b")
+    return both.where("size(array_intersect(p_a, p_b)) >= least(m_a, m_b)").select("a", "b")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, label: str) -> DataFrame:
+    """The pairs (a, b) whose whole texts make them links."""
+    pairs = materialize(pairs, f"{label}-sieved")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     some = materialize(texts.join(needed, "node", "left_semi"), f"{label}-texts")
     text = lambda x: some.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
-    whole = sieved.join(text("a"), "a").join(text("b"), "b")
+    whole = pairs.join(text("a"), "a").join(text("b"), "b")
     return materialize(whole.mapInArrow(_alike, "a long, b long"), label)
 
 
+def _placed(postings: DataFrame, links: DataFrame) -> DataFrame:
+    """The postings with the component of their document under ``links``."""
+    parts = components(links)
+    return postings.join(parts, "node", "left").select("token", "part", "node", "p", "centre", F.coalesce("component", "node").alias("component"))
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (smallest doc_id reachable by links).
 
@@ -213,22 +272,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         "shingle-index",
     )
     large = [(int(t), int(-(-c // HUB_ROWS))) for t, c in zip(hot, hot_n, strict=True) if c > HUB_ROWS]
-    entries = index.where("n > 0 and node is not null").select(F.explode("prefix").alias("token"), "node", "k1")
+    entries = index.where("n > 0 and node is not null").select(F.explode("prefix").alias("token"), "node", "k1", F.size("prefix").alias("p"))
     if large:
         parts = F.broadcast(spark.createDataFrame(large, "token long, parts int"))  # FREQUENT rows at most
         part = F.coalesce(F.pmod("k1", "parts"), F.lit(0)).alias("part")
-        entries = entries.join(parts, "token", "left").select("token", "node", "k1", part)
+        entries = entries.join(parts, "token", "left").select("token", "node", "k1", "p", part)
     else:
         entries = entries.withColumn("part", F.lit(0))
     # Copies of one set stand side by side in each group; the first stands for all of them.
-    grouped = (
-        "first_value(node) over g as hub, first_value(k1) over g as hub_key, lag(k1) over g as before, "
-        "count(1) over (partition by token, part) as held"
-    )
     entries.createOrReplaceTempView("candela_entries")
     postings = materialize(
-        spark.sql(f"""select token, node, hub from (select token, node, k1, {grouped} from candela_entries
-            window g as (partition by token, part order by k1, node))
+        spark.sql("""select token, part, node, p, sum(held) over (partition by node) as centre from (
+            select *, lag(k1) over (partition by token, part order by k1, node) as before,
+              count(1) over (partition by token, part) as held from candela_entries)
             where held > 1 and (before is null or before <> k1)"""),
         "postings",
     )
@@ -239,17 +295,34 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         .join(classes.where("size > 1"), ["k1", "k2", "n"]).where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct(),
         "copies",
     )
-    hubs = postings.where("node <> hub").groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("seen"))
-    first = _verified(hubs, index, texts, "hub-links")
-    parts = materialize(components(first), "parts")
-    # What is left: documents of one group in different components.
-    placed = postings.join(parts, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
-    split = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    placed = materialize(placed.join(split.select("token"), "token"), "split-groups")
-    left = placed.toDF("token", "a", "ca").join(placed.toDF("token", "b", "cb"), "token").where("a < b and ca <> cb")
-    rest = left.groupBy("a", "b").agg(F.count(F.lit(1)).alias("seen"))
-    second = _verified(rest, index, texts, "rest-links")
-    found = materialize(components(first.union(second).union(copies)), "components").withColumnsRenamed({"node": "_node"})
+    links = copies.where("a is null")
+    rank = "row_number() over (partition by token, part order by centre desc, node)"
+    for turn in range(HUB_TURNS):
+        # Documents whose shingles most others share come first: a copy with few changes is near to all.
+        placed = _placed(postings, links)
+        low, high = turn * HUBS, (turn + 1) * HUBS
+        hub = placed.selectExpr("token", "part", "node as hub", "component as hub_component", f"{rank} as nth").where(f"nth <= {high}").where(f"nth > {low}")
+        near = placed.join(hub, ["token", "part"]).where("component <> hub_component")
+        hubs = near.groupBy(F.col("node").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("seen"), F.first("p").alias("p"))
+        # Weak evidence can wait for the last pass, which counts all shared shingles of a pair.
+        best = "row_number() over (partition by a order by seen desc, b) as nth"
+        hubs = hubs.where(f"seen * {EVIDENCE} >= p").selectExpr("*", best).where(f"nth <= {HUBS}").select("a", "b")
+        links = links.union(_verified(_sieved(hubs, index), texts, "hub-links"))
+    # What is left: documents of one group in different components. Many shingles of a passage have the
+    # same group; it is looked at once. A large group is cut by size, as sizes of a link differ by a third at most.
+    placed = _placed(postings, links)
+    member = F.xxhash64("node")
+    split = (
+        placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held"), F.bit_xor(member).alias("x"), F.sum(member % (1 << 40)).alias("y"))
+        .where("low < high").groupBy("held", "x", "y").agg(F.min("token").alias("token")).select("token", "held")
+    )
+    sized = placed.join(split, "token").join(index.select("node", "n", "signature"), "node")
+    level = F.floor(F.log("n") / F.log(F.lit(4 / 3))).cast("int")
+    places = F.when(F.col("held") > LARGE, F.array(F.struct(level.alias("level"), F.lit(False).alias("guest")), F.struct((level + 1).alias("level"), F.lit(True).alias("guest")))).otherwise(F.array(F.struct(F.lit(0).alias("level"), F.lit(False).alias("guest"))))
+    groups = sized.select("token", "node", "component", "n", "signature", F.explode(places).alias("at")).select("*", "at.level", "at.guest").drop("at")
+    rest = groups.groupBy("token", "level").applyInArrow(_near_in_group, "a long, b long").distinct()
+    second = _verified(_matched(rest, index), texts, "rest-links")
+    found = materialize(components(links.union(second).union(copies)), "components").withColumnsRenamed({"node": "_node"})
     return index.join(found, F.col("node") == F.col("_node"), "left").select(
         F.col("node").cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "node").alias("component_id")
     )
