@@ -24,6 +24,8 @@ SLOTS, WORDS, SHORT_BYTES, SHORT_RUN = 128, 5, 256, 4
 #: 32 bands of 4 slots find a pair of similarity 0.75 with probability 1 - (1 - 0.75^4)^32 > 0.9999.
 BANDS = 32
 #: A range of ids for this much text; a range is sorted and streamed, never held, so larger ones would do.
+#: Rows whose texts are held at once.
+ROWS = 512
 PART_BYTES, MOST_PARTS = 16 << 20, 1 << 16
 
 _rng = np.random.default_rng(1729)
@@ -106,7 +108,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _compare(batches):
     """Rows in order of (part, place); each row's successor follows it, the part's last row is a guest."""
     held = None
-    for batch in batches:
+    for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, len(whole), ROWS)):
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         n = len(batch)

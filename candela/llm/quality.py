@@ -83,7 +83,7 @@ def votes(vectors: np.ndarray, known: np.ndarray, labels: np.ndarray, k: int) ->
     k = min(k, len(known))
     top = np.argpartition(-likeness, k - 1, axis=1)[:, :k]
     weight = np.maximum(np.take_along_axis(likeness, top, 1), 0) + 1e-9
-    return (weight * labels[top]).sum(1) / weight.sum(1)
+    return np.clip((weight * labels[top]).sum(1) / weight.sum(1), 0, 1)
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most: dict[int, int] = SAMPLE, carry: tuple[str, ...] = ()) -> DataFrame:
