@@ -50,8 +50,8 @@ class Tokens:
         # A word of letters alone is one unit to the tokenizer; many are encoded as one text, unit by unit.
         texts = [w.decode() for w in new]
         plain = [w for w in texts if w.isalpha()]
-        for i in range(0, len(plain), 512):
-            part = plain[i : i + 512]
+        for i in range(0, len(plain), 256):
+            part = plain[i : i + 256]
             e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             unit = np.array(e.word_ids, np.int64)
             cuts = np.flatnonzero(np.diff(unit)) + 1
@@ -203,7 +203,9 @@ def _island(capacity: int, level: int, round_: int):
         sizes = rows["length"].to_numpy()
         rng = np.random.default_rng([level, round_, cell, island])
         if round_ == 0:
-            start = [first_packing(sizes, capacity, rng, 0.02 * k * (1 + island)) for k in ((0, 1, 2) if island else (0, 1))]
+            start = [first_packing(sizes, capacity, rng, 0.02 * island)]
+            if start[0].rank[0] > -(-int(sizes.sum()) // capacity):  # else no packing is better
+                start += [first_packing(sizes, capacity, rng, 0.02 * (k + island)) for k in (1, 2)]
         else:
             start = [Packing(sizes, rows[c].to_numpy(), capacity) for c in ("own", "migrant")]
         best = breed(sizes, start, capacity, rng)

@@ -55,7 +55,7 @@ def url_tokens() -> Column:
 def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataFrame:
     """(rule_id, tokens, verdict, confidence, support) mined from rows (tokens, verdict)."""
     n = labelled.count()
-    support = max(support, LEAST / n)
+    support = min(1.0, max(support, LEAST / n))
     counts = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
     # A token in every url tells nothing; rare ones are in no rule. Fewer are left than a url's tokens / support.
     used = [r.token for r in counts.where((F.col("n") < n) & (F.col("n") >= support * n)).orderBy("token").collect()]
