@@ -228,8 +228,11 @@ def _sieved(pairs: DataFrame, index: DataFrame) -> DataFrame:
 
 def _matched(pairs: DataFrame, index: DataFrame) -> DataFrame:
     """Pairs that share as many prefix shingles as the shorter of their prefixes asks for."""
-    side = lambda x: index.select(F.col("node").alias(x), F.col("matches").alias(f"m_{x}"), F.col("prefix").alias(f"p_{x}"))
-    both = materialize(pairs, "rest-near").join(side("a"), "a").join(side("b"), "b")
+    pairs = materialize(pairs, "rest-near")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    some = materialize(index.join(needed, "node", "left_semi").select("node", "matches", "prefix"), "rest-prefixes")
+    side = lambda x: some.select(F.col("node").alias(x), F.col("matches").alias(f"m_{x}"), F.col("prefix").alias(f"p_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     return both.where("size(array_intersect(p_a, p_b)) >= least(m_a, m_b)").select("a", "b")
 
 
