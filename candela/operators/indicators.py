@@ -60,6 +60,9 @@ def _rolling(agg: str, column: str, n: int, out: str) -> dict[int, dict[str, str
 def _ewm(column: str, span: int, out: str, level: int) -> dict[int, dict[str, str]]:
     """Bias-adjusted exponential mean: ``sum r^k x[t-k] / sum r^k`` with ``r = 1 - 2/(span+1)``.
 
+    Both sums run over the rows that hold a value, so a row without one keeps the mean before it.
+    The mean is NULL before the first value and after ``EWM_HISTORY`` rows without any.
+
     A running sum of ``x * r^-i`` would overflow on a long series, so ``i`` restarts every 1024
     rows and the sum of the previous stretch is carried in with weight ``r^(i+1)``. Stretches
     further back weigh less than 1e-34.
@@ -70,16 +73,28 @@ def _ewm(column: str, span: int, out: str, level: int) -> dict[int, dict[str, st
         f"(partition by ticker, {BLK}, {_SUB} order by timestamp"
         " rows between unbounded preceding and current row)"
     )
-    run, carry = f"_run_{out}", f"_carry_{out}"
+    sums = {f"_run_{out}": column, f"_norm_{out}": f"if({column} is null, null, 1D)"}
+    known = f"_known_{out}"
+
+    def total(run: str) -> str:
+        return f"({run} + power({r}, {i} + 1) * coalesce(_carry{run}, 0D))"
+
     return {
-        level: {run: f"power({r}, {i}) * sum({column} * power({r}, -{i})) over {stretch}"},
+        level: {
+            run: f"power({r}, {i}) * coalesce(sum({value} * power({r}, -{i})) over {stretch}, 0D)"
+            for run, value in sums.items()
+        },
         level + 1: {
-            carry: f"last_value(case when {i} = {_EWM_ROWS - 1} then {run} end) ignore nulls"
-            " over ({w} rows between unbounded preceding and 1 preceding)"
+            known: f"max(if({column} is null, null, {POS})) over {_SO_FAR}",
+            **{
+                f"_carry{run}": f"last_value(case when {i} = {_EWM_ROWS - 1} then {run} end) ignore nulls"
+                " over ({w} rows between unbounded preceding and 1 preceding)"
+                for run in sums
+            },
         },
         level + 2: {
-            out: f"({run} + power({r}, {i} + 1) * coalesce({carry}, 0D)) * (1 - {r})"
-            f" / (1 - power({r}, {POS} + 1))"
+            out: f"case when {POS} - {known} < {EWM_HISTORY}"
+            f" then try_divide({total(f'_run_{out}')}, {total(f'_norm_{out}')}) end"
         },
     }
 

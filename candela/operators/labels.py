@@ -38,14 +38,18 @@ def lead_target(
     return out.where(F.col("target").isNotNull()) if drop_missing else out
 
 
-def _best_high(price: str) -> Column:
+def _priced(price: str, pos: Column) -> Column:
+    """The bar as (price, pos, at); NULL without a price, so that no extreme picks it."""
     at = F.unix_micros("timestamp").alias("at")
-    return F.max(F.struct(F.col(price).alias("price"), (-F.col(POS)).alias("pos"), at))
+    return F.when(F.col(price).isNotNull(), F.struct(F.col(price).alias("price"), pos.alias("pos"), at))
+
+
+def _best_high(price: str) -> Column:
+    return F.max(_priced(price, -F.col(POS)))
 
 
 def _best_low(price: str) -> Column:
-    at = F.unix_micros("timestamp").alias("at")
-    return F.min(F.struct(F.col(price).alias("price"), F.col(POS).alias("pos"), at))
+    return F.min(_priced(price, F.col(POS)))
 
 
 def _extremes_by_rows(df: DataFrame, price: str, steps: int) -> DataFrame:
@@ -71,8 +75,9 @@ def _extremes_by_rows(df: DataFrame, price: str, steps: int) -> DataFrame:
         # Near the end of the ticker the last bar closes the window.
         to_end = F.when(F.last("_g").over(whole) > F.lead("_g", 1).over(w),
                         F.last(f"_head_{end}").over(whole))
-        head = F.when(F.col(POS) + steps < F.col(TOTAL), F.lead(f"_head_{end}", steps).over(w))
-        return best(F.lead(f"_rest_{end}", 1).over(w), F.coalesce(head, to_end))
+        head = F.lead(f"_head_{end}", steps).over(w)
+        head = F.when(F.col(POS) + steps < F.col(TOTAL), head).otherwise(to_end)
+        return best(F.lead(f"_rest_{end}", 1).over(w), head)
 
     df = df.withColumns({"_hi": future("hi", F.greatest), "_lo": future("lo", F.least)})
     return df.drop("_g", "_rest_hi", "_rest_lo", "_head_hi", "_head_lo")
@@ -112,6 +117,7 @@ def trade_labels(
     """Label each bar with the best trade of the next ``max_holding`` rows (or minutes).
 
     The largest absolute return wins, the earliest on ties; below ``min_profit`` the label is HOLD.
+    Bars without a price are never an exit, and are themselves HOLD; they still count as steps.
     """
     df = blocked(bars, ahead=max_holding, **layout)
     extremes = _extremes_by_time if by_time else _extremes_by_rows

@@ -56,10 +56,15 @@ def feature_frame(
     ticker describes its last bar. Sources are joined while the frame is narrow; indicators, target
     and the local part of the fill then run on one more shuffle. The result of that stage is
     written once, because the fill reads it twice.
+
+    Bars without rows are an error. Other sources may be absent or empty, for all tickers or for
+    some: news count 0, prices are the closes, reports are 0. Every feature is filled.
     """
     if mode not in ("train", "score"):
         raise ValueError("mode must be train or score")
     require_columns(bars, BARS.names, "bars")
+    if bars.isEmpty():
+        raise ValueError("bars are empty")
     keys = bars.select("ticker", "timestamp")
     reports = list(STATEMENT_VALUES)
     if fundamentals is not None and IMPACT_SCORE in fundamentals.columns:
@@ -73,7 +78,10 @@ def feature_frame(
     if prices is None:
         df = df.withColumn("latest_price", F.col("close"))
     else:
-        df = exact_price(df, prices)
+        # A ticker without any snapshot is priced by its closes, as without a price source.
+        priced = prices.where(F.col("price").isNotNull()).groupBy("ticker").agg(F.lit(True).alias("_priced"))
+        price = F.when(F.col("_priced"), F.col("latest_price")).otherwise(F.col("close"))
+        df = exact_price(df, prices).join(priced, "ticker", "left").withColumn("latest_price", price).drop("_priced")
     if fundamentals is None:
         df = df.withColumns({c: F.lit(None).cast("double") for c in reports})
     else:
@@ -103,8 +111,7 @@ def feature_frame(
         *TIME_COLUMNS,
         "target",
     ]
-    may_lack = [c for c in INDICATOR_COLUMNS if not c.startswith(("ema", "macd"))]
-    may_lack += ["sentiment_std", "latest_price", *reports]
+    may_lack = [*OHLCV, *INDICATOR_COLUMNS, "sentiment_std", "latest_price", *reports]
     if fill == "none":
         return df.where(F.col(KEEP)).select(*columns)
     sort = sort_order(FAMILIES)
