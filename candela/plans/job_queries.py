@@ -91,8 +91,9 @@ def ticker_scan(t):
   as target from bars_h) where target is not null""",
 )
 def empty_sources(t):
-    """Bars alone: absent news give 0, absent prices the close, absent reports 0 after the fill."""
-    frame = feature_frame(t.stored(t.bars_h, "bars"))
+    """Bars with empty sources: news give 0, prices the close, reports 0 after the fill."""
+    sources = (schemas.empty(t.spark, s) for s in (t.news_h.schema, t.prices_h.schema, t.fund_h.schema))
+    frame = feature_frame(t.stored(t.bars_h, "bars"), *sources)
     return frame.select("ticker", "timestamp", "latest_price", "sentiment_mean", "revenue", "target")
 
 

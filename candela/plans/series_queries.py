@@ -13,7 +13,7 @@ from candela.operators.sentiment import SENTIMENT_COLUMNS, sentiment_window
 from candela.plans.catalog import query, rnd, rounded
 from candela.plans.feature_frame import decompose, feature_frame, valid_rows
 from candela.schemas import OHLCV, STATEMENT_VALUES
-from candela.timeline import POS, positioned
+from candela.timeline import POS, TOTAL, positioned
 
 KEYS = ("ticker", "timestamp")
 
@@ -32,7 +32,7 @@ def ewm_sql(source: str, column: str, span: int) -> str:
     r = 1 - 2 / (span + 1)
     rows = {9: 176, 12: 235, 26: 509}[span]
     return f"""select a.ticker, a.rn, sum(b.{column} * power({r!r}, a.rn - b.rn))
-         / sum(power({r!r}, a.rn - b.rn)) as y
+         / sum(case when b.{column} is not null then power({r!r}, a.rn - b.rn) end) as y
   from {source} a join {source} b on a.ticker = b.ticker and b.rn between a.rn - {rows} and a.rn
   group by 1, 2"""
 
@@ -60,12 +60,42 @@ def ema(t):
     return _family(t, "ema", "ema_12", "ema_26")
 
 
+_GAPS_SQL = "gaps as (select * replace (case when rn % 13 <> 0 then close end as close) from rows_h)"
+
+
+def _with_gaps(t):
+    """Hourly bars whose every 13th close is missing."""
+    rn = F.col(POS) + 1
+    return positioned(t.bars_h).withColumn("close", F.when(rn % 13 != 0, F.col("close"))).drop(POS, TOTAL)
+
+
+@query(
+    "ema_with_gaps",
+    f"""with {_GAPS_SQL}, e12 as ({ewm_sql("gaps", "close", 12)}), e26 as ({ewm_sql("gaps", "close", 26)})
+select b.ticker, b.timestamp, {rnd("e12.y", "ema_12")}, {rnd("e26.y", "ema_26")}
+from gaps b join e12 using (ticker, rn) join e26 using (ticker, rn)""",
+)
+def ema_with_gaps(t):
+    return indicators(_with_gaps(t), ["ema"]).select(*KEYS, "ema_12", "ema_26")
+
+
 MACD_SQL = f"""e12 as ({ewm_sql("rows_h", "close", 12)}), e26 as ({ewm_sql("rows_h", "close", 26)}),
 mac as (select ticker, rn, e12.y as ema_12, e26.y as ema_26, e12.y - e26.y as macd
   from e12 join e26 using (ticker, rn)),
 sig as ({ewm_sql("mac", "macd", 9)})"""
 
 
+@query(
+    "macd_with_gaps",
+    f"""with {_GAPS_SQL}, {MACD_SQL.replace("rows_h", "gaps")}
+select b.ticker, b.timestamp, {rounded("macd")}, {rnd("sig.y", "macd_signal")},
+  {rnd("macd - sig.y", "macd_histogram")}
+from gaps b join mac using (ticker, rn) join sig using (ticker, rn)""",
+)
+def macd_with_gaps(t):
+    return indicators(_with_gaps(t), ["macd"]).select(*KEYS, "macd", "macd_signal", "macd_histogram")
+
+
 @query(
     "macd",
     f"""with {MACD_SQL}
@@ -224,6 +254,15 @@ def trade_label(t):
     )
 
 
+@query(
+    "trade_labels_with_gaps",
+    f"""with {_GAPS_SQL}, {LABEL_SQL.replace("rows_h", "gaps").replace("from pairs", "from pairs where r is not null")}
+select ticker, timestamp, signal, position_size, timing_minutes, {rounded("profit")} from labelled""",
+)
+def trade_label_with_gaps(t):
+    return trade_labels(_with_gaps(t)).select(*KEYS, "signal", "position_size", "timing_minutes", "profit")
+
+
 @query(
     "trade_labels_by_time",
     """with pairs as (select a.ticker, a.timestamp, b.rn - a.rn as step,

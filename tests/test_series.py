@@ -84,6 +84,21 @@ def test_padded_percent_change(spark):
     assert np.isnan(got[0]) and got[1:] == [0.0, 1.0]
 
 
+@pytest.mark.parametrize("rows", [704, 8192])
+def test_exponential_means_with_missing_closes(bars, bars_pdf, rows):
+    gap = F.pmod(F.unix_micros("timestamp") / 60_000_000, F.lit(13)) < 2
+    holes = bars.withColumn("close", F.when(~gap, F.col("close")))
+    got = by_key(indicators(holes, ["ema", "macd"], rows=rows, width_us=HOUR))
+    src = by_key(holes)
+    assert 50 < src.close.isna().sum() < len(src)
+    for _, g in src.groupby("ticker"):
+        c = g.close
+        fast, slow = c.ewm(span=12).mean(), c.ewm(span=26).mean()
+        signal = (fast - slow).ewm(span=9).mean()
+        for name, want in (("ema_12", fast), ("ema_26", slow), ("macd_signal", signal)):
+            np.testing.assert_allclose(got.loc[g.index, name], want, rtol=1e-9, atol=1e-10, err_msg=name)
+
+
 def test_ewm_golden(spark):
     from candela.operators.indicators import _ewm
     from candela.timeline import blocked
@@ -140,6 +155,15 @@ def test_label_micro_case(spark):
     assert (last.signal, last.timing_minutes, last.position_size, last.profit) == (1, 0, 0, 0.0)
 
 
+@pytest.mark.parametrize("by_time", [False, True])
+def test_labels_pass_over_missing_closes(spark, by_time):
+    df = spark.sql("""select timestamp'2024-01-01' + make_dt_interval(0,0,i) as timestamp, 'X' as ticker,
+        c as close from values (0, 100d), (1, null), (2, 90d), (3, 95d), (4, null) as t(i, c)""")
+    got = by_key(trade_labels(df, max_holding=3, by_time=by_time))
+    assert got.signal.tolist() == [0, 1, 2, 1, 1] and got.timing_minutes.tolist() == [2, 0, 1, 0, 0]
+    assert abs(got.profit[0] - 10) < 1e-12
+
+
 @pytest.mark.parametrize("horizon", [1, 7])
 def test_lead_target(bars, bars_pdf, horizon):
     got = by_key(lead_target(bars, horizon=horizon, drop_missing=False, rows=100, width_us=HOUR))
