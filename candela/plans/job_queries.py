@@ -100,16 +100,22 @@ def empty_sources(t):
 # Streams
 
 
+def _landing(t, landed: DataFrame) -> DataFrame:
+    """The files of a stored table as a stream, one a batch."""
+    reader = t.spark.readStream.schema(landed.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(landed.inputFiles()[0].rsplit("/", 1)[0])
+
+
 @query(
     "stream_articles",
     f"""select cast(uuid as varchar) as uuid, ticker, published_at, {rnd("coalesce(score, 0)", "sentiment")}
 from articles where named""",
 )
 def stream_articles(t):
-    """Every page lands twice; the stream keeps each article once."""
+    """Every page lands twice, in files of mixed times, one a batch; the table holds each article once."""
     pages = t.news_pages.unionByName(t.news_pages)
-    landed = materialize(pages, "pages")
-    source = t.spark.readStream.schema(landed.schema).parquet(landed.inputFiles()[0].rsplit("/", 1)[0])
+    landed = materialize(pages.repartition(4), "pages")
+    source = _landing(t, landed)
     out = new_path(t.spark, "articles")
     stream = jobs.article_stream(nested.parse_pages(source))
     jobs.append_articles(stream, out, new_path(t.spark, "state"), once=True).awaitTermination()
@@ -121,11 +127,12 @@ def stream_articles(t):
     f"""with w as (select ticker, sentiment, date_trunc('hour', published_at) + to_hours(cast(i as int) + 1) as timestamp
   from news_h, range(24) r(i))
 select ticker, timestamp, {rnd("avg(sentiment)", "sentiment_mean")}, count(*) as sentiment_count,
-  {rnd("max(sentiment)", "sentiment_max")}, {rnd("min(sentiment)", "sentiment_min")} from w group by 1, 2""",
+  {rnd("max(sentiment)", "sentiment_max")}, {rnd("min(sentiment)", "sentiment_min")},
+  {rnd("stddev_samp(sentiment)", "sentiment_std")} from w group by 1, 2""",
 )
 def stream_sentiment(t):
-    landed = materialize(t.news_h, "news")
-    source = t.spark.readStream.schema(landed.schema).parquet(landed.inputFiles()[0].rsplit("/", 1)[0])
+    """Files of mixed times, one a batch: most articles are days older than some before them."""
+    source = _landing(t, materialize(t.news_h.repartition(4), "news"))
     out = new_path(t.spark, "rolling")
     stream = jobs.rolling_sentiment(source)
     jobs.write_updates(stream, out, new_path(t.spark, "state"), once=True).awaitTermination()
@@ -134,23 +141,24 @@ def stream_sentiment(t):
 
 @query(
     "stream_scores",
-    f"""with p as (select ticker, arg_max(price, timestamp)*1.5 as now from prices_h group by 1),
-b as (select rows_h.*, case when row_number() over (partition by ticker order by timestamp desc) = 1 then now
-  else close end as last_close from rows_h join p using (ticker))
+    f"""with p as (select ticker, arg_max(price, timestamp)*1.5 as now from prices_d group by 1),
+b as (select rows_d.*, case when row_number() over (partition by ticker order by timestamp desc) = 1 then now
+  else close end as last_close from rows_d join p using (ticker))
 select ticker, max(timestamp) as timestamp, {rnd("arg_max(last_close, timestamp)", "close")},
-  {rnd("avg(last_close) filter (rn > n - 20)", "sma_20")}
+  {rnd("avg(last_close) filter (rn > n - 20)", "sma_20")},
+  {rnd("avg(last_close) filter (rn > n - 50 and n >= 50)", "sma_50")}
 from (select *, count(*) over (partition by ticker) as n from b) group by 1""",
 )
 def stream_scores(t):
     """Prices arrive as a stream; each batch yields the indicators of the overlaid last bars."""
-    landed = materialize(t.prices_h.withColumn("price", F.col("price") * 1.5), "prices")
-    bars = materialize(t.bars_h, "bars")
+    landed = materialize(t.prices_d.withColumn("price", F.col("price") * 1.5), "prices")
+    bars = materialize(t.bars_d, "bars")
     source = t.spark.readStream.schema(landed.schema).parquet(landed.inputFiles()[0].rsplit("/", 1)[0])
     out = new_path(t.spark, "scores")
 
     def score(series: DataFrame) -> DataFrame:
         last = latest_rows(indicators(series, ["sma"]))
-        return last.select("ticker", "timestamp", "close", "sma_20")
+        return last.select("ticker", "timestamp", "close", "sma_20", "sma_50")
 
     jobs.live_scores(
         source, lambda: bars, score, out, new_path(t.spark, "state"), once=True

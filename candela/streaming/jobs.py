@@ -7,15 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candela.operators.clean import overlay_latest
-from candela.operators.nested import articles_to_news, explode_articles
-from candela.timeline import DAY_US
+from candela.operators.indicators import FAMILIES, SMA_WINDOWS, history_rows
+from candela.operators.nested import articles_to_news, dedupe_uuid, explode_articles
+from candela.schemas import empty
 
-LATENESS = "2 days"
+#: Bars read per ticker: what the indicators look back on, and the longest plain window before it.
+HISTORY = history_rows(FAMILIES) + max(SMA_WINDOWS)
 
 
 def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
@@ -23,40 +25,53 @@ def _start(writer, checkpoint: str, once: bool) -> StreamingQuery:
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def article_stream(pages: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Pages (``ticker, page``) to accepted articles, each (uuid, ticker) once within ``lateness``."""
-    news = articles_to_news(explode_articles(pages)).drop("seq")
-    return news.withWatermark("published_at", lateness).dropDuplicatesWithinWatermark(
-        ["uuid", "ticker"]
-    )
+def article_stream(pages: DataFrame) -> DataFrame:
+    """Pages (``ticker, page``) to usable articles, copies included; none is too old."""
+    return articles_to_news(explode_articles(pages)).drop("seq")
 
 
 def append_articles(
     news: DataFrame, path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Append accepted articles to a table partitioned by ticker and month."""
+    """Append articles to a table partitioned by ticker and month, each (uuid, ticker) once.
+
+    A batch is held against the months it touches, so an article may land at any age, and a replayed
+    batch adds nothing. A copy with another month as its time counts as another article.
+    """
     dated = news.withColumn("month", F.date_format("published_at", "yyyy-MM"))
-    writer = (
-        dated.writeStream.format("parquet")
-        .outputMode("append")
-        .partitionBy("ticker", "month")
-        .option("path", path)
-    )
-    return _start(writer, checkpoint, once)
+    layout = ["ticker", "month"]
+    empty(news.sparkSession, dated.schema).write.mode("append").partitionBy(*layout).parquet(path)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        span = batch.agg(F.min("month").alias("low"), F.max("month").alias("high")).first()
+        if span.low is not None:
+            table = batch.sparkSession.read.schema(dated.schema).parquet(path)
+            known = table.where(F.col("month").between(span.low, span.high)).select("uuid", "ticker", "month")
+            new = dedupe_uuid(batch).join(known, ["uuid", "ticker", "month"], "left_anti")
+            new.write.mode("append").partitionBy(*layout).parquet(path)
+        batch.unpersist()
+
+    return _start(dated.writeStream.foreachBatch(write), checkpoint, once)
 
 
 def rolling_sentiment(
-    news: DataFrame, span: str = "24 hours", step: str = "1 hour", lateness: str = LATENESS
+    news: DataFrame, span: str = "24 hours", step: str = "1 hour", lateness: str | None = None
 ) -> DataFrame:
-    """Sentiment of each ticker over ``span`` every ``step``; state is dropped after ``lateness``."""
+    """Sentiment of each ticker over ``span`` every ``step``.
+
+    State is one row per (ticker, step) of the history, and articles of any age count. A
+    ``lateness`` bounds the state; articles that are later than it are then left out.
+    """
+    news = news.withWatermark("published_at", lateness) if lateness else news
     return (
-        news.withWatermark("published_at", lateness)
-        .groupBy("ticker", F.window("published_at", span, step))
+        news.groupBy("ticker", F.window("published_at", span, step))
         .agg(
             F.count(F.lit(1)).alias("sentiment_count"),
             F.avg("sentiment").alias("sentiment_mean"),
             F.min("sentiment").alias("sentiment_min"),
             F.max("sentiment").alias("sentiment_max"),
+            F.stddev_samp("sentiment").alias("sentiment_std"),
         )
         .select(
             "ticker",
@@ -65,6 +80,7 @@ def rolling_sentiment(
             "sentiment_count",
             "sentiment_max",
             "sentiment_min",
+            "sentiment_std",
         )
     )
 
@@ -91,26 +107,21 @@ def live_scores(
     score: Callable[[DataFrame], DataFrame],
     path: str,
     checkpoint: str,
-    history_days: int = 60,
+    history: int = HISTORY,
     once: bool = False,
 ) -> StreamingQuery:
     """Score the tickers of each batch of prices.
 
-    Every batch puts the newest prices into the last bars, recomputes the recent bars of the
-    tickers it touches and writes ``score`` of them. ``bars`` reads the bar table afresh; its
-    ticker and time filters reach the scan.
+    Every batch puts the newest prices into the last bars, recomputes the last ``history`` bars of
+    the tickers it touches and writes ``score`` of them; the indicators of a last bar are those of
+    the whole series. ``bars`` reads the bar table afresh.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         touched = batch.select("ticker").distinct()
         series = bars().join(touched, "ticker", "left_semi")
-        last = series.groupBy("ticker").agg(F.max("timestamp").alias("_last"))
-        from_us = F.unix_micros("_last") - history_days * DAY_US
-        recent = (
-            series.join(last, "ticker")
-            .where(F.unix_micros("timestamp") >= from_us)
-            .select(*series.columns)
-        )
+        newest = Window.partitionBy("ticker").orderBy(F.desc("timestamp"))
+        recent = series.withColumn("_nth", F.row_number().over(newest)).where(F.col("_nth") <= history).drop("_nth")
         score(overlay_latest(recent, batch)).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     return _start(prices.writeStream.foreachBatch(write), checkpoint, once)
