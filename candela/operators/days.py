@@ -33,7 +33,8 @@ def union_days(*sets: DataFrame) -> DataFrame:
 
 def sample_days(days: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """``k`` days without replacement; the same days for the same seed."""
-    return days.orderBy(F.xxhash64("day", F.lit(seed)), "day").limit(k)
+    drawn = F.md5(F.concat(F.col("day").cast("string"), F.lit(f":{seed}")))
+    return days.orderBy(drawn, "day").limit(k)
 
 
 def target_days(

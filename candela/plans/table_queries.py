@@ -366,7 +366,14 @@ def batch_ranges(t):
     return days.batch_ranges(days.span_of(t.bars_d, "timestamp", ["ticker"]))
 
 
-@query("sample_days")
+@query(
+    "sample_days",
+    f"""with {_DAYS_H},
+fixed as (select distinct cast(published_at as date) as day from news_h where isodow(published_at) > 5),
+drawn as (
+  select day from every where day not in (select day from fixed) order by md5(cast(day as varchar) || ':42'), day limit 10)
+select day from fixed union select day from drawn""",
+)
 def sample_days(t):
     weekend = t.news_h.where(F.weekday("published_at") >= 5)
     fixed = weekend.select(F.to_date("published_at").alias("day")).distinct()
