@@ -12,12 +12,8 @@ from candela.operators.clean import keep_first, top_rows
 from candela.schemas import NEWS_PAGE, NEWS_TEXT_COLUMNS
 
 ON_MISSING = ("skip", "zero", "null")
-ARTICLES_PER_DAY = 2
 BATCH_DAYS = 30
-BATCH_CAP = 1000
-RANGE_CAP = 100
 THIN_WINDOW = 3
-SESSION_CAP = 10
 
 
 def parse_pages(raw: DataFrame, column: str = "json") -> DataFrame:
@@ -92,9 +88,7 @@ def on_days(news: DataFrame, days: DataFrame) -> DataFrame:
     return news.join(days.select("day"), F.to_date("published_at") == F.col("day"), "left_semi")
 
 
-def top_per_day(
-    news: DataFrame, k: int = ARTICLES_PER_DAY, order: tuple[str, ...] = ("published_at", "uuid")
-) -> DataFrame:
+def top_per_day(news: DataFrame, k: int, order: tuple[str, ...] = ("published_at", "uuid")) -> DataFrame:
     """At most ``k`` articles of each ticker and day, in response order."""
     dated = news.withColumn("_day", F.to_date("published_at"))
     return top_rows(dated, ["ticker", "_day"], list(order), k).drop("_day")
@@ -103,8 +97,8 @@ def top_per_day(
 def cap_batches(
     news: DataFrame,
     start: dt.date | Column,
+    cap: int,
     days: int = BATCH_DAYS,
-    cap: int = BATCH_CAP,
     order: tuple[str, ...] = ("published_at", "uuid"),
 ) -> DataFrame:
     """At most ``cap`` articles of each ticker and run of ``days`` days; adds ``batch``."""
@@ -114,9 +108,9 @@ def cap_batches(
     return top_rows(news.withColumn("batch", batch), ["ticker", "batch"], list(order), cap)
 
 
-def range_fallback(news: DataFrame, days: DataFrame, cap: int = RANGE_CAP) -> DataFrame:
-    """Two articles a day on the wanted days; tickers without any get ``cap`` of the whole range."""
-    chosen = top_per_day(on_days(news, days))
+def range_fallback(news: DataFrame, days: DataFrame, k: int, cap: int) -> DataFrame:
+    """``k`` articles a day on the wanted days; tickers without any get ``cap`` of the whole range."""
+    chosen = top_per_day(on_days(news, days), k)
     have = chosen.select("ticker").distinct()
     rest = news.join(have, "ticker", "left_anti")
     return chosen.unionByName(top_rows(rest, ["ticker"], ["published_at", "uuid"], cap))
@@ -125,8 +119,8 @@ def range_fallback(news: DataFrame, days: DataFrame, cap: int = RANGE_CAP) -> Da
 def session_articles(
     news: DataFrame,
     window_end: Column,
+    cap: int,
     thin: int = THIN_WINDOW,
-    cap: int = SESSION_CAP,
     order: tuple[str, ...] = ("published_at", "uuid"),
 ) -> DataFrame:
     """Per ticker and day: articles from midnight to ``window_end``, at most ``cap``.

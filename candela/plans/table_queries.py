@@ -214,7 +214,7 @@ def news_uuid_dedupe(t):
 qualify row_number() over (partition by ticker, cast(published_at as date) order by published_at, uuid) <= 2""",
 )
 def news_top2_per_day(t):
-    return nested.top_per_day(t.news_h)
+    return nested.top_per_day(t.news_h, 2)
 
 
 @query(
@@ -240,7 +240,7 @@ chosen as (select uuid, ticker, published_at, sentiment, day from m
 
 def _session(t):
     end = F.date_trunc("day", "published_at") + F.make_dt_interval(hours=F.lit(4))
-    return nested.session_articles(t.news_h, end)
+    return nested.session_articles(t.news_h, end, cap=10)
 
 
 @query(
@@ -302,7 +302,7 @@ select uuid, ticker, published_at, {rounded("sentiment")} from (select * from hi
 )
 def news_range_fallback(t):
     gap = (F.col("ticker") == "view") & (F.weekday("published_at") == 0)
-    return nested.range_fallback(t.news_h.where(~gap), _mondays(t))
+    return nested.range_fallback(t.news_h.where(~gap), _mondays(t), k=2, cap=100)
 
 
 @query(

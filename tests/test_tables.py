@@ -256,7 +256,7 @@ def test_session_rules(spark):
             for i, (d, h) in enumerate([(1, 1), (1, 2), (1, 20), (1, 21), (2, 1), (2, 2), (2, 3), (2, 22)])]
     news = spark.createDataFrame(rows, "uuid string, published_at timestamp, ticker string, sentiment double")
     end = F.date_trunc("day", "published_at") + F.make_dt_interval(hours=F.lit(12))
-    got = {(r.day.day, r.uuid) for r in nested.session_articles(news, end).collect()}
+    got = {(r.day.day, r.uuid) for r in nested.session_articles(news, end, cap=10).collect()}
     assert got == {(1, "0"), (1, "1"), (1, "2"), (2, "4"), (2, "5"), (2, "6")}
 
 
