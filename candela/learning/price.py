@@ -124,15 +124,14 @@ class PriceModel:
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        _write_note(
-            path,
-            {"families": self.families, "features": self.features, "validation": self.validation},
-        )
+        settings = ("families", "params", "validation", "early_stop")
+        note = {name: getattr(self, name) for name in settings}
+        _write_note(path, {"features": self.features, "settings": note})
 
     @classmethod
     def load(cls, spark, path: str) -> PriceModel:
         note = _read_note(spark, path)
-        loaded = cls(note["families"], validation=note["validation"])
+        loaded = cls(**note["settings"])
         loaded.features = note["features"]
         loaded.model = PipelineModel.load(f"{path}/model")
         return loaded

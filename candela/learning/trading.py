@@ -151,7 +151,10 @@ class TradingModel:
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/model")
-        settings = ("max_position", "min_profit", "max_holding", "include_hold", "validation")
+        settings = (
+            "max_position", "min_profit", "max_holding", "include_hold", "validation",
+            "signal_params", "head_params",
+        )
         note = {name: getattr(self, name) for name in settings}
         _write_note(path, {"features": self.features, "settings": note})
 

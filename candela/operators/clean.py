@@ -110,8 +110,13 @@ def clean_news(
     return keep_first(df, list(keys), order).select(*NEWS.names)
 
 
-def split_news_and_bars(combined: DataFrame, prefix: str = "msft") -> tuple[DataFrame, DataFrame]:
-    """One file of articles with their day's prices to a news table and a bar table."""
+def split_news_and_bars(
+    combined: DataFrame, order: list[str], prefix: str = "msft"
+) -> tuple[DataFrame, DataFrame]:
+    """One file of articles with their day's prices to a news table and a bar table.
+
+    Of several rows for one article time or one bar the first by ``order`` stays, whatever its values.
+    """
     needed = ["published_at", "ticker", "sentiment_score", "price_date_on_published_date"]
     values = {f"{prefix}_{c}_on_published_date": c for c in OHLCV}
     require_columns(combined, [*needed, *values], "combined news and prices")
@@ -119,8 +124,10 @@ def split_news_and_bars(combined: DataFrame, prefix: str = "msft") -> tuple[Data
         parse_utc(F.col("price_date_on_published_date")).alias("timestamp"),
         "ticker",
         *(to_number(F.col(old)).alias(new) for old, new in values.items()),
-    ).dropna(how="any")
-    return clean_news(combined), keep_first(bars, ["ticker", "timestamp"], OHLCV)
+        *(F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)),
+    ).dropna(how="any", subset=["timestamp", "ticker", *OHLCV])
+    first = keep_first(bars, ["ticker", "timestamp"], [f"_order_{i}" for i in range(len(order))])
+    return clean_news(combined, order=order), first.select(*BARS.names)
 
 
 def overlay_latest(bars: DataFrame, prices: DataFrame) -> DataFrame:

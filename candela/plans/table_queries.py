@@ -48,18 +48,25 @@ def bars_clean(t):
 
 @query(
     "split_news_bars",
-    """with f as (select uuid, n.ticker, published_at, sentiment, close, volume, timestamp,
-    open, high, low from news_d n left join bars_d b on n.ticker = b.ticker and n.published_at = b.timestamp),
+    """with one as (select uuid, n.ticker, published_at, sentiment, close, timestamp
+    from news_d n left join bars_d b on n.ticker = b.ticker and n.published_at = b.timestamp),
+f as (select * from one union all
+  select uuid + 1000000000, ticker, published_at, sentiment - 1, close - 1, timestamp from one),
 news as (select ticker, published_at, round(sentiment, 6) + 0.0 as sentiment from f
   qualify row_number() over (partition by ticker, published_at order by uuid, sentiment) = 1)
 select 'news' as part, ticker, published_at as timestamp, sentiment as value from news
 union all
-select distinct 'bars', ticker, timestamp, close from f where timestamp is not null""",
+(select 'bars', ticker, timestamp, close from f where timestamp is not null
+  qualify row_number() over (partition by ticker, timestamp order by uuid) = 1)""",
 )
 def split_news_bars(t):
     n, b = t.news_d, t.bars_d.withColumn("published_at", F.col("timestamp"))
     text = F.date_format("timestamp", "yyyy-MM-dd")
-    combined = n.join(b, ["ticker", "published_at"], "left").select(
+    one = n.join(b, ["ticker", "published_at"], "left")
+    # Later rows of the file disagree with the first ones and have smaller values.
+    later = {c: F.col(c) - 1 for c in ("sentiment", *OHLCV)}
+    both = one.unionByName(one.withColumns({"uuid": F.col("uuid") + 1_000_000_000, **later}))
+    combined = both.select(
         "uuid",
         "published_at",
         "ticker",
@@ -67,7 +74,7 @@ def split_news_bars(t):
         text.alias("price_date_on_published_date"),
         *(F.col(c).cast("string").alias(f"msft_{c}_on_published_date") for c in OHLCV),
     )
-    news, bars = clean.split_news_and_bars(combined)
+    news, bars = clean.split_news_and_bars(combined, ["uuid"])
     return news.select(
         F.lit("news").alias("part"),
         "ticker",

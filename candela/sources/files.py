@@ -40,7 +40,9 @@ def read_ticker_news(spark: SparkSession, folder: str, ticker: str) -> DataFrame
     return only_ticker(read_news_csv(spark, path), ticker)
 
 
-def read_combined_csv(spark: SparkSession, path: str, prefix: str = "msft") -> DataFrame:
+def read_combined_csv(
+    spark: SparkSession, path: str, prefix: str = "msft", multi_line: bool = True
+) -> DataFrame:
     """Articles with the prices of their day, all as text."""
     names = [
         "published_at",
@@ -50,15 +52,18 @@ def read_combined_csv(spark: SparkSession, path: str, prefix: str = "msft") -> D
         *(f"{prefix}_{c}_on_published_date" for c in schemas.OHLCV),
     ]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return read_csv(spark, path, schema)
+    return read_csv(spark, path, schema, multi_line)
 
 
-def read_news_json(spark: SparkSession, path: str, ticker: str | None = None) -> DataFrame:
-    """Landed news responses, one document per file, as articles in response order.
+def read_news_json(
+    spark: SparkSession, path: str, ticker: str | None = None, lines: bool = False
+) -> DataFrame:
+    """Landed news responses as articles in response order: one document per file, or per line.
 
+    Files of ``lines`` are split between tasks; a file of one document is read whole by one task.
     With ``ticker`` the rows carry the requested ticker; otherwise use ``explode_entities``.
     """
-    pages = spark.read.schema(schemas.NEWS_PAGE).json(path, multiLine=True, mode="PERMISSIVE")
+    pages = spark.read.schema(schemas.NEWS_PAGE).json(path, multiLine=not lines, mode="PERMISSIVE")
     page = pages.select(F.struct(*pages.columns).alias("page"))
     if ticker is not None:
         page = page.withColumn("ticker", F.lit(ticker.strip().upper()))

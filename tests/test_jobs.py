@@ -30,6 +30,8 @@ def test_price_model(spark, bars, frame, tmp_path):
     assert set(parts) == {"train", "validation", "all"} and parts["train"].r2 > 0.5
     model.save(str(tmp_path / "m"))
     again = PriceModel.load(spark, str(tmp_path / "m"))
+    for name in ("families", "params", "validation", "early_stop", "features"):
+        assert getattr(again, name) == getattr(model, name)
     one, two = (m.predict(frame).toPandas().sort_values(["ticker", "timestamp"]) for m in (model, again))
     np.testing.assert_array_equal(one.prediction, two.prediction)
     np.testing.assert_allclose(one.prediction, (one.prediction_boosted + one.prediction_forest) / 2)
@@ -49,6 +51,8 @@ def test_trading_model(spark, bars, frame, tmp_path):
     assert set(metrics) == {"train", "validation", "all"}
     model.save(str(tmp_path / "t"))
     again = TradingModel.load(spark, str(tmp_path / "t"))
+    for name in ("signal_params", "head_params", "max_holding", "include_hold", "features"):
+        assert getattr(again, name) == getattr(model, name)
     prices = clean.latest_price(bars)
     score = feature_frame(bars, mode="score")
     one, two = (sorted(map(str, m.recommend(score, prices).collect())) for m in (model, again))
