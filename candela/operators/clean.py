@@ -105,9 +105,9 @@ def clean_news(
         ts.alias("published_at"),
         "ticker",
         to_number(F.col("sentiment_score"), 0.0).alias("sentiment"),
-        *order,
+        *(F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)),
     ).where(F.col("published_at").isNotNull())
-    return keep_first(df, list(keys), order).select(*NEWS.names)
+    return keep_first(df, list(keys), [f"_order_{i}" for i in range(len(order))]).select(*NEWS.names)
 
 
 def split_news_and_bars(

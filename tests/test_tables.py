@@ -101,11 +101,27 @@ def test_entity_rules(articles):
     assert flat.columns == schemas.NEWS_TEXT_COLUMNS and flat.count() == 7
 
 
+def test_combined_csv_keeps_the_first_bar(spark, tmp_path):
+    head = "published_at,ticker,sentiment_score,price_date_on_published_date," + ",".join(f"msft_{c}_on_published_date" for c in schemas.OHLCV)
+    rows = ["2024-01-01 10:00:00+00:00,MSFT,0.5,2024-01-01,400,401,399,400,5", "2024-01-01 11:00:00+00:00,MSFT,,2024-01-01,390,401,389,390,5"]
+    (tmp_path / "c.csv").write_text("\n".join([head, *rows]) + "\n")
+    for multi_line in (True, False):
+        combined = files.read_combined_csv(spark, str(tmp_path / "c.csv"), multi_line=multi_line)
+        news, bars = clean.split_news_and_bars(combined, ["published_at"])
+        assert [r.open for r in bars.collect()] == [400.0]
+        assert sorted(r.sentiment for r in news.collect()) == [0.0, 0.5]
+
+
 def test_landed_json_and_csv(spark, tmp_path):
     (tmp_path / "p.json").write_text(page(article("a", "2024-01-01T10:00:00Z", {"symbol": "X", "sentiment_score": 0.5})))
     got = nested.articles_to_news(files.read_news_json(spark, str(tmp_path / "p.json"), "x")).first()
     assert (got.uuid, got.ticker, got.sentiment) == ("a", "X", 0.5)
 
+    docs = [page(article(u, "2024-01-01T10:00:00Z", {"symbol": "X", "sentiment_score": 0.5})) for u in "ab"]
+    (tmp_path / "p.jsonl").write_text("\n".join(docs))
+    lines = files.read_news_json(spark, str(tmp_path / "p.jsonl"), "x", lines=True)
+    assert sorted(r.uuid for r in nested.articles_to_news(lines).collect()) == ["a", "b"]
+
     header = ",".join(schemas.NEWS_TEXT_COLUMNS)
     line = '2024-01-01,u,"a ""quoted"", title\nnext","d",k,s,u,i,en,2024-01-01 10:00:00+00:00,src,MSFT,0.25'
     (tmp_path / "MSFT_all_dates_data.csv").write_text(f"{header}\n{line}\n")
