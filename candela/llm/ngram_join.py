@@ -279,16 +279,17 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     if large:
         parts = F.broadcast(spark.createDataFrame(large, "token long, parts int"))  # FREQUENT rows at most
         part = F.coalesce(F.pmod("k1", "parts"), F.lit(0)).alias("part")
-        entries = entries.join(parts, "token", "left").select("token", "node", "k1", "p", part)
+        entries = entries.join(parts, "token", "left").select("token", "node", "k1", "p", part, F.col("parts").isNotNull().alias("split"))
     else:
-        entries = entries.withColumn("part", F.lit(0))
-    # Copies of one set stand side by side in each group; the first stands for all of them.
+        entries = entries.withColumns({"part": F.lit(0), "split": F.lit(False)})
+    # Copies of one set stand side by side in each group; the first stands for all of them. Who is alone
+    # in a part of a split token stays: the parts are for the hubs only, the second pass takes the whole token.
     entries.createOrReplaceTempView("candela_entries")
     postings = materialize(
         spark.sql("""select token, part, node, p, sum(held) over (partition by node) as centre from (
             select *, lag(k1) over (partition by token, part order by k1, node) as before,
               count(1) over (partition by token, part) as held from candela_entries)
-            where held > 1 and (before is null or before <> k1)"""),
+            where (held > 1 or split) and (before is null or before <> k1)"""),
         "postings",
     )
     spark.catalog.dropTempView("candela_entries")

@@ -71,6 +71,19 @@ def test_similar_documents(docs, texts, nothing):
     assert ngram_join.similar_documents(nothing).count() == 0
 
 
+def test_split_tokens_keep_every_link(spark, monkeypatch):
+    """Exact copies fill one part of a split token; edited copies alone in other parts still link to them."""
+    monkeypatch.setattr(ngram_join, "HUB_ROWS", 1)
+    base = prose(8, 60)
+    rows = [(i, base) for i in range(16)]
+    for i in range(16, 20):
+        words = base.split()
+        words[i] = f"edit{i}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict.fromkeys(range(20), 0)
+
+
 def test_prefixes_keep_every_link():
     rng = np.random.default_rng(0)
     for _ in range(300):
