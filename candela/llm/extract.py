@@ -30,7 +30,10 @@ GROUP = 6
 PARTS = 32
 
 # Element names and name parts of classes, ids and roles.
-RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "head", "select", "object"}
+RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "svg", "select", "object"}
+#: Raw elements whose body is no markup: without an end tag they take the rest of the page.
+BODY = {"script", "style", "title", "textarea", "iframe"}
+IN_HEAD = {"base", "link", "meta", "title", "style", "script", "noscript", "template"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "noscript"}
@@ -39,6 +42,7 @@ MAIN = {"article", "main"}
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
+_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PARTS_OF_NAME = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -61,7 +65,8 @@ def page_blocks(page: str) -> list[tuple[str, str]]:
     out: list[tuple[str, str]] = []
     stack: list[str] = []
     text: list[str] = []
-    at, raw = 0, ""
+    at, head = 0, False
+    endless: set[str] = set()  # raw elements without a further end tag
 
     def flush() -> None:
         if text:
@@ -70,27 +75,33 @@ def page_blocks(page: str) -> list[tuple[str, str]]:
             if words:
                 out.append(("/".join(stack), words))
 
-    for m in _MARKUP.finditer(page):
-        if not raw and m.start() > at:
-            text.append(page[at : m.start()])
+    while m := _MARKUP.search(page, at):
+        if m.start() > at:
+            head = head and page[at : m.start()].isspace()
+            if not head:
+                text.append(page[at : m.start()])
         at = m.end()
         name = m[2] or m[5]
         if not name:
             continue
         name, closing = name.lower(), bool(m[1] or m[4])
-        if raw:
-            if closing and name == raw:
-                raw = ""
-            elif raw == "head" and name == "body" and not closing:
-                raw = ""
-            else:
-                continue
-            if name != "body":
-                continue
+        if name == "head":
+            flush()
+            head = not closing
+            continue
+        # Both tags of a head may be left out: it ends before what cannot stand in it.
+        head = head and (closing or name in IN_HEAD)
         if name in RAW and not closing:
             if not (m[3] or m[6] or "").rstrip().endswith("/"):
                 flush()
-                raw = name
+                end = None if name in endless else _ENDS[name].search(page, at)
+                if end:
+                    at = end.start()
+                else:
+                    endless.add(name)
+                    at = len(page) if name in BODY else at
+            continue
+        if head:
             continue
         if name in INLINE:
             if name == "br":
@@ -112,10 +123,9 @@ def page_blocks(page: str) -> list[tuple[str, str]]:
             while stack and stack[-1].rstrip("!") in gone:
                 stack.pop()
             stack.append(_element(name, m[3] or m[6] or ""))
-    if not raw:
-        if at < len(page):
-            text.append(page[at:])
-        flush()
+    if at < len(page):
+        text.append(page[at:])
+    flush()
     return out
 
 

@@ -302,6 +302,16 @@ def test_main_texts(spark):
     assert got[9] == "plain < text" and got[22] == "Own text 2"
 
 
+def test_raw_elements_end_at_their_end_tag():
+    text = lambda page: [t for _, t in extract.page_blocks(page)]
+    assert text("<head><script>for(i=0;i<e.length;i++)t.push(e[i])</script></head><body><p>One</p><script>a<b</script><p>Two</p>") == ["One", "Two"]
+    assert text("<p>One</p><SCRIPT>x='<!--';if(i<n)y='<p'</Script ><p>Two<style>a>b{}</style>Three</p>") == ["One", "Two", "Three"]
+    assert text("<html><head><meta charset=utf-8><title>T</title><p>One<div>Two</div>") == ["One", "Two"]
+    assert text("<head><title>T</title><link rel=x> plain text") == ["plain text"]
+    assert text("<p>One</p><svg><path d='x'><p>Two</p>") == ["One", "Two"]
+    assert text("<p>One</p><script>a<b; <p>no text</p>") == ["One"]
+
+
 def test_wrappers_find_repeats_and_options():
     node = lambda path, text="x": (path, text)
     a = extract.page_wrapper([node("nav"), node("p", "1"), node("p", "2"), node("p", "3"), node("foot")])
