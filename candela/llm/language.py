@@ -7,6 +7,8 @@ averaged. Text is lower-cased (A-Z) and other ASCII characters but letters are b
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -16,10 +18,14 @@ from candela.llm.labelled import remainder
 from candela.llm.words import blocks
 
 HIDDEN = 8
-#: Documents learned from, at most, of each language; languages learned, the most frequent first.
-SAMPLE, LANGUAGES = 400, 64
+#: Documents learned from, at most, of each language. All languages are learned.
+SAMPLE = 400
 SEGMENT, TRAIN_SEGMENT = 128, 64
 STEPS, BATCH, RATE = 400, 128, 0.015
+#: STEPS serve so many languages; more languages take more steps, so that each is drawn as often.
+SERVED = 64
+#: Segments drawn from a long training text: DRAWN over the number of languages, LEAST_DRAWN at least.
+DRAWN, LEAST_DRAWN = 512, 4
 LANES = 512
 
 _INPUT = np.full(256, 0x20, np.uint8)
@@ -150,8 +156,19 @@ def gradients(net, codes: np.ndarray, labels: np.ndarray):
     return float(loss), out
 
 
-def train(texts: list[bytes], labels: np.ndarray, classes: int, steps: int = STEPS, seed: int = 7) -> dict[str, np.ndarray]:
-    """A network fitted by Adam to random segments, languages drawn evenly."""
+def spread(text: bytes, count: int) -> bytes:
+    """``count`` training segments from all over a text, end to end; a text that is not longer as it is."""
+    if len(text) <= count * TRAIN_SEGMENT:
+        return text
+    begins = np.random.default_rng(zlib.crc32(text)).integers(0, len(text) - TRAIN_SEGMENT + 1, count)
+    return b"".join(text[b : b + TRAIN_SEGMENT] for b in begins.tolist())
+
+
+def train(texts: list[bytes], labels: np.ndarray, classes: int, steps: int = STEPS, seed: int = 7, count: int = 0) -> dict[str, np.ndarray]:
+    """A network fitted by Adam to random segments, languages drawn evenly.
+
+    Texts as long as ``count`` segments are taken for segments end to end, and no other is cut from them.
+    """
     rng = np.random.default_rng(seed)
     net = new_network(classes, rng)
     coded = [_INPUT[np.frombuffer(t, np.uint8)] for t in texts]
@@ -162,7 +179,10 @@ def train(texts: list[bytes], labels: np.ndarray, classes: int, steps: int = STE
         picked = rng.integers(0, classes, BATCH)
         for i, c in enumerate(picked):
             text = coded[rng.choice(by_class[c])]
-            begin = rng.integers(0, max(1, len(text) - TRAIN_SEGMENT + 1))
+            if count and len(text) == count * TRAIN_SEGMENT:
+                begin = rng.integers(0, count) * TRAIN_SEGMENT
+            else:
+                begin = rng.integers(0, max(1, len(text) - TRAIN_SEGMENT + 1))
             part = text[begin : begin + TRAIN_SEGMENT]
             lanes[i, : len(part)] = part
         _, grads = gradients(net, np.ascontiguousarray(lanes.T), picked)
@@ -210,22 +230,28 @@ def probabilities(net, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def languages(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     """One row per document row: doc_id, held_out, lang_pred, score (0 to 1).
 
-    Learns from at most ``most`` documents of each language, none of them held out (crc32 of the id
-    as text modulo 4 is 2). Null texts and texts without a letter are 'und' with score 0; so is all
+    Learns every language, from at most ``most`` documents of each, none of them held out (crc32 of the id
+    as text modulo 4 is 2); of a long one, from segments all over it. Null texts and texts without a letter are 'und' with score 0; so is all
     if no language can be learned. Rows without an id are not learned from and count as the id 'null'. Repeated rows
     get equal results; other columns are ignored, whatever their names.
     """
-    spark = docs.sparkSession
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") > 0) & (remainder("doc_id", 4) != 2))
-    names = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
+    names = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= most).select("doc_id").distinct()
-    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id") if names else None  # LANGUAGES * most rows
+    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id") if names else None  # languages * most rows
     net = None
     if names:
-        middle = F.substring("text", 1, 20_000).alias("text")  # of the training texts only
-        known = rows.where(F.col("lang").isin(names)).select("doc_id", "lang", middle).toArrow().sort_by("doc_id").to_pylist()
-        net = train([r["text"].encode() for r in known], np.array([names.index(r["lang"]) for r in known]), len(names))
+        count, place = max(LEAST_DRAWN, DRAWN // len(names)), {name: i for i, name in enumerate(names)}
+
+        def drawn(batches):
+            for batch in batches:
+                parts = [spread(t.encode(), count) for t in batch.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(parts, pa.binary())], names=["doc_id", "lang", "part"])
+
+        known = rows.mapInArrow(drawn, f"doc_id {kind}, lang string, part binary").toArrow().sort_by("doc_id").to_pylist()
+        net = train([r["part"] for r in known], np.array([place[r["lang"]] for r in known]), len(names), STEPS * -(-len(names) // SERVED), count=count)
     shared = spark.sparkContext.broadcast((names, net))
 
     def label(batches):
@@ -246,6 +272,5 @@ def languages(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
                 score.append(np.where(has, np.clip(p[np.arange(len(best)), best], 0, 1), 0.0))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.string()), pa.array(np.concatenate(score) if score else np.zeros(0))], names=["doc_id", "lang_pred", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.select("doc_id", "text").mapInArrow(label, f"doc_id {kind}, lang_pred string, score double")
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")

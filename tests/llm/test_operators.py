@@ -275,6 +275,21 @@ def test_languages(spark):
     assert all(got[i].lang_pred == lang for i, _, lang in rows[:160])
 
 
+def test_every_language_and_all_of_a_text_is_learned(spark, monkeypatch):
+    seen = {}
+
+    def train(texts, labels, classes, *args, **named):
+        seen.update(texts=texts, labels=labels, classes=classes)
+        return language.new_network(classes, np.random.default_rng(0))
+
+    monkeypatch.setattr(language, "train", train)
+    rows = [(i, f"text number {i}", f"l{i % 70}") for i in range(1400)]
+    rows += [(2000 + i, "a" * 30_000 + "b" * 30_000, "long") for i in range(8)]
+    assert language.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).count() == len(rows)
+    assert seen["classes"] == 71 and set(seen["labels"].tolist()) == set(range(71))
+    assert any(b"b" in t for t in seen["texts"])
+
+
 def test_fast_states_equal_training_states():
     net = language.new_network(2, np.random.default_rng(0))
     codes = np.random.default_rng(1).integers(0, 256, (30, 9)).astype(np.uint8)
