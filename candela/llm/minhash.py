@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.llm.components import components
-from candela.llm.ngram_join import _alike
+from candela.llm.ngram_join import LARGE, _alike, _near_in_group, _signature, shingle_sets
 from candela.llm.words import _LOWER, SPACED, Words, blocks, grams, mix
 from candela.session import materialize
 
@@ -171,8 +171,10 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
 def near_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, component_id): documents joined by near copies, found by bands of their signatures.
 
-    Documents that agree on a band are paired with the band's smallest document, and a pair counts
-    if the whole texts' 5-word shingles have a Jaccard similarity of 0.75 or more. Rows without an id link with nothing.
+    Each text stands once for its copies. Documents that agree on a band are paired with the band's
+    smallest document; then documents of a band that are still in different components are paired with
+    one another, if a bound on the difference of their shingles allows it. A pair counts if the whole
+    texts' 5-word shingles have a Jaccard similarity of 0.75 or more. Rows without an id link with nothing.
     """
 
     def bands(batches):
@@ -182,13 +184,38 @@ def near_copies(docs: DataFrame) -> DataFrame:
             keys = mix(s.reshape(len(s), BANDS, -1).astype(np.uint64) @ _FACTORS[: SLOTS // BANDS], 11)
             keys += np.arange(BANDS, dtype=np.uint64)
             lists = [[] if e else k for e, k in zip(empty, keys.view(np.int64).tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(lists, pa.list_(pa.int64()))], names=["node", "bands"])
+            sizes, marks = [], []
+            for _, data, offsets in blocks(batch.column("text")):
+                tokens, first = shingle_sets(data, offsets)
+                sizes += np.diff(first).tolist()
+                marks += [_signature(tokens[i:j]) for i, j in zip(first[:-1], first[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), batch.column("sha"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()), pa.array(lists, pa.list_(pa.int64()))],
+                names=["node", "sha", "n", "signature", "bands"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    marked = materialize(texts.where("node is not null").mapInArrow(bands, "node long, bands array<long>").select("node", F.explode("bands").alias("band")), "bands")
-    hubs = marked.groupBy("band").agg(F.min("node").alias("b"), F.count("*").alias("n")).where("n > 1")
-    pairs = marked.join(hubs, "band").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    text = lambda x: texts.toDF(x, f"text_{x}")
-    links = pairs.join(text("a"), "a").join(text("b"), "b").mapInArrow(_alike, "a long, b long")
-    found = components(links)
+    some = texts.where("node is not null and text is not null").distinct()
+    hashed = some.withColumn("sha", F.sha2(F.col("text").cast("binary"), 256))
+    index = materialize(hashed.mapInArrow(bands, "node long, sha string, n long, signature binary, bands array<long>").where("size(bands) > 0"), "bands")
+    reps = index.groupBy("sha").agg(F.min("node").alias("rep"))
+    owned = index.select("node", "sha").join(reps, "sha")
+    copies = materialize(owned.where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b")).distinct(), "copies")
+    marked = materialize(index.join(owned.where("node = rep").select("node", "sha"), ["node", "sha"], "left_semi").select("node", "n", "signature", F.explode("bands").alias("band")), "marked")
+    text = lambda x: some.toDF(x, f"text_{x}")
+    alike = lambda pairs: pairs.join(text("a"), "a").join(text("b"), "b").mapInArrow(_alike, "a long, b long")
+    hubs = marked.groupBy("band").agg(F.min("node").alias("b"), F.count("*").alias("held")).where("held > 1")
+    links = materialize(alike(marked.select("node", "band").join(hubs, "band").where("node <> b").select(F.col("node").alias("a"), "b").distinct()), "hub-links").union(copies)
+    # Bands of the same documents are looked at once. A large one is cut by size, as sizes of a link differ by a third at most.
+    placed = marked.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    member = F.xxhash64("node", "signature")
+    split = (
+        placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("held"), F.bit_xor(member).alias("x"), F.sum(member % (1 << 40)).alias("y"))
+        .where("low < high").groupBy("held", "x", "y").agg(F.min("band").alias("band")).select("band", "held")
+    )
+    level = F.floor(F.log("n") / F.log(F.lit(4 / 3))).cast("int")
+    at = lambda place, guest: F.struct(place.alias("level"), F.lit(guest).alias("guest"))
+    places = F.when(F.col("held") > LARGE, F.array(at(level, False), at(level + 1, True))).otherwise(F.array(at(F.lit(0), False)))
+    groups = placed.join(split, "band").select("band", "node", "component", "n", "signature", F.explode(places).alias("at")).select("*", "at.level", "at.guest").drop("at")
+    rest = groups.groupBy("band", "level").applyInArrow(_near_in_group, "a long, b long").distinct()
+    found = components(links.union(alike(rest)))
     return texts.select("node").join(found, "node", "left").select(F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("component_id"))

@@ -191,6 +191,23 @@ def test_near_copies(docs):
     assert parts[0] == parts[10] == parts[20] == 0 and parts[50] == 50 and parts[60] == 60
 
 
+def test_near_copies_behind_hubs(spark):
+    """Smaller ids that are half like both of a near pair take its bands, but not its link."""
+    base = prose(9, 400).split()
+    rng = np.random.default_rng(9)
+
+    def edited(*places):
+        return " ".join(f"x{rng.integers(1 << 40)}" if i in places else w for i, w in enumerate(base))
+
+    rows = [(i, edited(*rng.choice(400, 16, replace=False))) for i in range(150)]
+    rows += [(1000, edited(7, 300)), (1001, edited(90, 200)), (1002, edited(90, 200))]
+    sets = {i: {tuple(t.lower().split()[k : k + 5]) for k in range(396)} for i, t in rows}
+    alike = lambda x, y: len(sets[x] & sets[y]) / len(sets[x] | sets[y])
+    assert all(0.5 < alike(i, j) < 0.75 for i in range(150) for j in (1000, 1001)) and alike(1000, 1001) > 0.75
+    parts = {r.doc_id: r.component_id for r in near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert parts[1000] == parts[1001] == parts[1002] == 1000
+
+
 def test_pack(docs, texts, nothing):
     from tokenizers import Tokenizer
 
