@@ -17,8 +17,6 @@ from candela.session import materialize
 SUPPORT, CONFIDENCE = 0.01, 0.8
 #: Urls a rule must hold for, at least.
 LEAST = 20
-#: Antecedents are at most this long.
-LONGEST = 4
 DEFAULT = "allow"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -63,7 +61,7 @@ def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataF
     baskets = labelled.select(F.concat(cut, F.array(F.concat(F.lit("verdict="), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     found = (
-        model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit("verdict=")) & (F.size("antecedent") <= LONGEST))
+        model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit("verdict=")))
         .select(F.array_sort("antecedent").alias("tokens"), F.substring_index(F.col("consequent")[0], "=", -1).alias("verdict"), "confidence", "support")
         .withColumn("rule_id", F.xxhash64(F.concat_ws("\n", "tokens"), "verdict"))
     )

@@ -14,7 +14,7 @@ from candela.llm.decontaminate import contamination
 from candela.llm.minhash import compare_with_next, near_copies
 from candela.llm.quality import quality
 from candela.llm.toxicity import toxicity
-from candela.llm.url_rules import judge
+from candela.llm.url_rules import judge, mined_rules
 from candela.llm.queries import URL_RULES
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -321,6 +321,13 @@ def test_judge(spark):
     assert got[6][2] is None and got[7][:3] == ("com", "", None) and got[8][1:3] == ("/fr/", "net/fr/")
 
 
+def test_long_rules_are_kept(spark):
+    """Only five tokens together make a block sure."""
+    rows = [(list("abcde"), "block")] * 40 + [(sorted(set("abcde") - {x}), "allow") for x in "abcde"] * 40
+    got = {("".join(r.tokens), r.verdict) for r in mined_rules(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.01, 0.8).collect()}
+    assert ("abcde", "block") in got
+
+
 PAGE = """<html><head><title>x</title><style>p{}</style></head><body><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- c <p>no -->
 <div class="cookie-notice">We use cookies</div><article><h1>T &amp; %d</h1><p>First <b>bold</b>
  part %d.<p>Second&nbsp;part<br>goes on.</article><div id="comments"><p>nice!</p></div><form><p>mail</p></form><footer>me</footer></body>"""
