@@ -58,7 +58,6 @@ class Tables:
         k = F.get_json_object("props", "$.k").cast("double")
         return (
             self.read("events")
-            .where(F.col("event_id") % 3 == 0)
             .select(
                 F.col("event_id").alias("uuid"),
                 F.col("ts").alias("published_at"),
@@ -82,10 +81,10 @@ class Tables:
 
     @cached_property
     def news_d(self) -> DataFrame:
-        lines = self.read("lineitem").where("l_linenumber = 1 and l_returnflag = 'R'")
+        lines = self.read("lineitem")
         orders = self.read("orders").select("o_orderkey", "o_orderpriority")
         return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-            F.col("l_orderkey").alias("uuid"),
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("uuid"),
             F.col("l_shipdate").alias("published_at"),
             F.col("o_orderpriority").alias("ticker"),
             (F.col("l_discount") * 20 - 1).alias("sentiment"),
@@ -187,9 +186,9 @@ class Tables:
     def news_pages(self) -> DataFrame:
         """Article pages as JSON text: up to 100 articles of one ticker, with decoys and gaps.
 
-        Page ``event_id div 300`` bounds a page, since one event in three is an article.
+        Page ``event_id div 100`` bounds a page, since every event is an article.
         """
-        n = self.news_h.withColumn("_page", F.floor(F.col("uuid") / 300))
+        n = self.news_h.withColumn("_page", F.floor(F.col("uuid") / 100))
         uuid = F.col("uuid")
 
         def entity(symbol: Column, score: Column) -> Column:
@@ -291,15 +290,14 @@ VIEWS = {
 from events group by 1, 2""",
     "news_h": """select event_id as uuid, ts as published_at, event_type as ticker,
        cast(json_extract_string(props, '$.k') as double)/50 - 1 as sentiment
-from events where event_id % 3 = 0""",
+from events""",
     "bars_d": """select o_orderpriority as ticker, o_orderdate as timestamp,
        arg_min(o_totalprice, o_orderkey) as open, max(o_totalprice) as high, min(o_totalprice) as low,
        arg_max(o_totalprice, o_orderkey) as close, cast(count(*) as double) as volume
 from orders group by 1, 2""",
-    "news_d": """select l_orderkey as uuid, l_shipdate as published_at, o_orderpriority as ticker,
+    "news_d": """select cast(l_orderkey * 8 + l_linenumber as bigint) as uuid, l_shipdate as published_at, o_orderpriority as ticker,
        l_discount*20-1 as sentiment
-from lineitem join orders on l_orderkey = o_orderkey
-where l_linenumber = 1 and l_returnflag = 'R'""",
+from lineitem join orders on l_orderkey = o_orderkey""",
     "fund_d": """select ticker, report_date, r as revenue, f*0.6e0 as net_income, r/n/5e4 as eps,
        (r-o)*0.5e0 as operating_cash_flow, r*4e0 as total_assets, o*5e0 as total_liabilities
 from (select o_orderpriority as ticker, date_trunc('quarter', o_orderdate) as report_date,

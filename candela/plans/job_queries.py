@@ -179,26 +179,20 @@ def _score_frame(t) -> DataFrame:
     return feature_frame(bars, t.news_h, t.prices_h, t.fund_h, mode="score")
 
 
-# Models of 20 trees on the whole frame; the library's own defaults are 100.
-BOOSTED = {"maxIter": 20}
-FOREST = {"numTrees": 20}
-
-
 @query("price_model_metrics")
 def price_model_metrics(t):
     frame = _train_frame(t)
-    return PriceModel("boosted", {"boosted": BOOSTED}).fit(frame).evaluate(frame)
+    return PriceModel("boosted").fit(frame).evaluate(frame)
 
 
 @query("price_model_forest_importance")
 def price_model_forest_importance(t):
-    return PriceModel("forest", {"forest": FOREST}).fit(_train_frame(t)).importance(t.spark)
+    return PriceModel("forest").fit(_train_frame(t)).importance(t.spark)
 
 
 @query("price_model_ensemble_forecast")
 def price_model_ensemble_forecast(t):
-    params = {"boosted": BOOSTED, "boosted_deep": BOOSTED, "forest": FOREST}
-    model = PriceModel(ENSEMBLE, params).fit(_train_frame(t))
+    model = PriceModel(ENSEMBLE).fit(_train_frame(t))
     path = new_path(t.spark, "price-model")
     model.save(path)
     return PriceModel.load(t.spark, path).forecast(_score_frame(t))
@@ -207,13 +201,12 @@ def price_model_ensemble_forecast(t):
 @query("trading_model_metrics")
 def trading_model_metrics(t):
     frame = _train_frame(t)
-    model = TradingModel(signal_params=FOREST, head_params=BOOSTED)
-    return model.fit(frame).evaluate(frame)
+    return TradingModel().fit(frame).evaluate(frame)
 
 
 @query("trading_model_recommendation")
 def trading_model_recommendation(t):
-    model = TradingModel(include_hold=True, signal_params=FOREST, head_params=BOOSTED)
+    model = TradingModel(include_hold=True)
     model.fit(_train_frame(t))
     path = new_path(t.spark, "trading-model")
     model.save(path)
