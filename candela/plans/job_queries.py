@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela import schemas
 from candela.learning.price import ENSEMBLE, PriceModel
 from candela.learning.trading import TradingModel
 from candela.operators import clean, nested
-from candela.operators.indicators import indicators
+from candela.operators.indicators import INDICATOR_COLUMNS, indicators
 from candela.operators.labels import latest_rows
 from candela.plans.catalog import query, rnd, rounded
 from candela.plans.feature_frame import feature_frame
+from candela.plans.series_queries import FRAME_SQL
 from candela.session import materialize, new_path
 from candela.sources import files
-from candela.streaming import jobs
+from candela.streaming import jobs, live, rolling
 
 # Sources and sinks
 
@@ -139,6 +140,72 @@ def stream_sentiment(t):
     return jobs.latest_updates(t.spark.read.parquet(out), ["ticker", "timestamp"])
 
 
+def _landings(t, frames: list[DataFrame], label: str) -> DataFrame:
+    """Frames landed one after the other as a stream; each is a batch."""
+    path = new_path(t.spark, label)
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query(
+    "stream_articles_moved",
+    f"""select uuid, ticker, published_at, {rounded("sentiment")} from news_h
+union all select uuid + 1000000000, ticker, published_at - interval 70 day, {rnd("-sentiment", "sentiment")} from news_h
+where uuid % 3 = 1""",
+)
+def stream_articles_moved(t):
+    """Copies land batches later, with times in other months and other scores; the first landing stays."""
+    some = t.news_h.where("uuid % 3 = 1")
+    moved = some.withColumns({"published_at": F.col("published_at") - F.expr("interval 70 days"), "sentiment": -F.col("sentiment")})
+    frames = [
+        t.news_h.where("uuid % 2 = 0"),
+        moved.where("uuid % 2 = 0").unionByName(t.news_h.where("uuid % 2 = 1")),
+        moved.where("uuid % 2 = 1").unionByName(moved.withColumn("uuid", F.col("uuid") + 1_000_000_000)),
+        t.news_h,
+    ]
+    out = new_path(t.spark, "articles")
+    source = _landings(t, frames, "moved")
+    jobs.append_articles(source, out, new_path(t.spark, "state"), once=True).awaitTermination()
+    return t.spark.read.parquet(out).drop("month")
+
+
+_WINDOWED = f"""with w as (select ticker, sentiment, date_trunc('hour', published_at) + to_hours(cast(i as int) + 1) as timestamp
+  from {{news}}, range(24) r(i))
+select ticker, timestamp, {rnd("avg(sentiment)", "sentiment_mean")}, count(*) as sentiment_count,
+  {rnd("max(sentiment)", "sentiment_max")}, {rnd("min(sentiment)", "sentiment_min")},
+  {rnd("stddev_samp(sentiment)", "sentiment_std")} from w group by 1, 2"""
+
+
+@query("stream_sentiment_late", _WINDOWED.format(news="(select * replace (case when uuid % 29 <> 0 then sentiment end as sentiment) from news_h)"))
+def stream_sentiment_late(t):
+    """Days land out of order, weeks apart, the newest first; some scores are missing. Tables are summed up twice on the way."""
+    news = t.news_h.withColumn("sentiment", F.when(F.col("uuid") % 29 != 0, F.col("sentiment")))
+    day = F.dayofyear("published_at")
+    frames = [news.where((day % 5 == 4 - k) if k < 4 else (day % 5 == 0) & (F.col("uuid") % 2 == 0)) for k in range(5)]
+    frames.append(news.where((day % 5 == 0) & (F.col("uuid") % 2 == 1)))
+    source = _landings(t, frames, "late")
+    out = new_path(t.spark, "rolling")
+    job = rolling.sentiment_tables(source, out, new_path(t.spark, "state"), every=2, once=True)
+    job.awaitTermination()
+    return rolling.read_sentiment(t.spark, out, epochs=len(frames), every=2)
+
+
+@query(
+    "stream_indicators",
+    f"""with {FRAME_SQL.format(rows="true")}
+select ticker, timestamp, {rounded(*INDICATOR_COLUMNS)} from wide""",
+)
+def stream_indicators(t):
+    """Hourly bars land in four batches; each batch reads its own bars and a small state per ticker only."""
+    quarter = F.ntile(4).over(Window.partitionBy("ticker").orderBy("timestamp"))
+    bars = t.stored(t.bars_h.withColumn("part", quarter), "bars")
+    source = _landings(t, [bars.where(F.col("part") == k).drop("part") for k in (1, 2, 3, 4)], "live")
+    out = new_path(t.spark, "live")
+    jobs.write_updates(live.live_indicators(source), out, new_path(t.spark, "state"), once=True).awaitTermination()
+    return jobs.latest_updates(t.spark.read.parquet(out), ["ticker", "timestamp"]).select("ticker", "timestamp", *INDICATOR_COLUMNS)
+
+
 @query(
     "stream_scores",
     f"""with p as (select ticker, arg_max(price, timestamp)*1.5 as now from prices_d group by 1),

@@ -13,8 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candela.operators.clean import overlay_latest
 from candela.operators.indicators import FAMILIES, SMA_WINDOWS, history_rows
-from candela.operators.nested import articles_to_news, dedupe_uuid, explode_articles
+from candela.operators.nested import articles_to_news, explode_articles
 from candela.schemas import empty
+from candela.streaming.live import keyed_state
 
 #: Bars read per ticker: what the indicators look back on, and the longest plain window before it.
 HISTORY = history_rows(FAMILIES) + max(SMA_WINDOWS)
@@ -33,26 +34,19 @@ def article_stream(pages: DataFrame) -> DataFrame:
 def append_articles(
     news: DataFrame, path: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Append articles to a table partitioned by ticker and month, each (uuid, ticker) once.
+    """Append articles to a table partitioned by ticker and month, each (uuid, ticker) once and for ever.
 
-    A batch is held against the months it touches, so an article may land at any age, and a replayed
-    batch adds nothing. A copy with another month as its time counts as another article.
+    The uuids of all months are keyed state on disk, looked up once an article, so a copy is dropped whatever
+    its time says and however late it lands, and no earlier month is read. The article that lands first stays; of copies
+    in one batch any one. The sink commits whole batches, so a replayed batch adds nothing.
     """
+    keyed_state(news.sparkSession)
     dated = news.withColumn("month", F.date_format("published_at", "yyyy-MM"))
     layout = ["ticker", "month"]
     empty(news.sparkSession, dated.schema).write.mode("append").partitionBy(*layout).parquet(path)
-
-    def write(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()
-        span = batch.agg(F.min("month").alias("low"), F.max("month").alias("high")).first()
-        if span.low is not None:
-            table = batch.sparkSession.read.schema(dated.schema).parquet(path)
-            known = table.where(F.col("month").between(span.low, span.high)).select("uuid", "ticker", "month")
-            new = dedupe_uuid(batch).join(known, ["uuid", "ticker", "month"], "left_anti")
-            new.write.mode("append").partitionBy(*layout).parquet(path)
-        batch.unpersist()
-
-    return _start(dated.writeStream.foreachBatch(write), checkpoint, once)
+    first = dated.dropDuplicates(["uuid", "ticker"])
+    writer = first.writeStream.format("parquet").option("path", path).partitionBy(*layout).outputMode("append")
+    return _start(writer, checkpoint, once)
 
 
 def rolling_sentiment(
