@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candela.llm.words import small_batches
+
 #: A text shared by this many aligned pages, and by all that have its place, is a constant.
 CONSTANT_PAGES = 3
 #: Longest group of blocks looked for as a repetition.
@@ -279,6 +281,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     wrapper. Repeated rows get equal texts; an empty table gives an empty result; other columns are
     ignored, whatever their names.
     """
+    small_batches(pages.sparkSession)
     host = F.lower(F.coalesce(F.regexp_extract("url", r"://([^/?#]*)", 1), F.lit("")))
     rows = pages.select("page_id", "url", "html", host.alias("_host"))
     wrappers = host_wrappers(rows.select("_host", "html"))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.llm.components import components
-from candela.llm.words import SPACED, Words, blocks, grams, mix
+from candela.llm.words import SPACED, Words, blocks, grams, mix, small_batches
 from candela.session import materialize
 
 WORDS = 5
@@ -261,7 +261,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     returned. Rows without an id have themselves as component (null) and link with nothing. An empty
     table gives an empty result; other columns are ignored, whatever their names.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     frequent = (
         texts.select("text").mapInArrow(_frequent, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))

@@ -3,7 +3,8 @@
 Documents are tokenized where they lie and cut into pieces; only lengths travel. Pieces are dealt at
 random to cells of bounded size. In each cell a few islands breed packings: crossover injects whole
 well-filled bins of one packing into another, drops the bins that now hold a document twice, and
-best-fits the displaced documents. After a round every island gets its neighbour's elite packing.
+best-fits the displaced documents: one that fills a bin better than smaller ones in it takes their place, the rest
+go where they fit best. After a round every island gets its neighbour's elite packing.
 Bins of a cell's best packing that are not quite full are dissolved, and their pieces are dealt to
 fewer cells, until one cell is left; its packing is final.
 """
@@ -19,11 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.words import blocks
+from candela.llm.words import blocks, small_batches
 from candela.session import materialize
 
 CELL_PIECES = 8192
-ISLANDS, ROUNDS, CHILDREN = 3, 2, 8
+ISLANDS, ROUNDS = 3, 2
+#: Crossovers of an island in a round: at least, at most, and pieces handled by all of them together, about.
+CHILDREN, MOST_CHILDREN, BRED = 8, 300, 1 << 16
+PEOPLE = 12
+#: Bins, and displaced documents, looked at for an exchange in one crossover.
+EXCHANGED = 48
 #: Bins filled to less than this part go on to the next level.
 FULL = 0.995
 #: Words whose ids a worker remembers.
@@ -40,7 +46,8 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Texts of tokens that are matched before words are, as bytes.
+        self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, words: set[bytes]) -> None:
@@ -69,6 +76,17 @@ class Tokens:
             for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 self.known[word.encode()] = np.array(e.ids, "<u4").tobytes()
 
+    def whole(self, text: bytes) -> bytes:
+        """Ids of a text that holds such a token; case is left aside in the test, which does no harm."""
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def with_added(self, raw: bytes, offsets: np.ndarray) -> dict[int, bytes]:
+        low = raw.lower()
+        if not any(t in low for t in self.added):
+            return {}
+        rows = enumerate(zip(offsets.tolist(), offsets[1:].tolist(), strict=False))
+        return {r: self.whole(raw[a:b]) for r, (a, b) in rows if any(t in low[a:b] for t in self.added)}
+
     def ids(self, words: list[bytes]) -> bytes:
         return b"".join(map(self.known.__getitem__, words))
 
@@ -97,12 +115,13 @@ def _pieces(path: str, size: int, end: int):
         for batch in batches:
             row_of, piece, start, length, crc = [], [], [], [], []
             for row, data, offsets in blocks(batch.column("text")):
+                special = tokens.with_added(data.tobytes(), offsets)
                 data, offsets = _parted(data, offsets)
                 raw = data.tobytes()
-                texts = [raw[a:b].split() for a, b in zip(offsets, offsets[1:], strict=False)]
+                texts = [() if r in special else raw[a:b].split() for r, (a, b) in enumerate(zip(offsets, offsets[1:], strict=False))]
                 tokens.learn(set().union(*texts))
                 for r, words in enumerate(texts):
-                    ids = tokens.ids(words) + last
+                    ids = (special[r] if r in special else tokens.ids(words)) + last
                     for k, at in enumerate(range(0, len(ids), 4 * size)):
                         part = ids[at : at + 4 * size]
                         row_of.append(row + r)
@@ -161,15 +180,40 @@ def first_packing(sizes: np.ndarray, capacity: int, rng: np.random.Generator, no
     return Packing(sizes, np.array(bins, np.int64), capacity)
 
 
+def _exchange(sizes: list[int], bins: list[int], room: list[int], loose: list[int], members: dict[int, list[int]]) -> list[int]:
+    """Put displaced documents in the place of one or two smaller ones where that fills the bin better; what is displaced then."""
+    loose = sorted(loose, key=lambda i: -sizes[i])
+    for b, inside in members.items():
+        best = (0, (), -1)
+        for x, i in enumerate(inside):
+            for group in ((i,), *((i, j) for j in inside[x + 1 :])):
+                out = sum(sizes[k] for k in group)
+                for d in loose[:EXCHANGED]:
+                    gain = sizes[d] - out
+                    if gain <= 0:
+                        break
+                    if best[0] < gain <= room[b]:
+                        best = (gain, group, d)
+        if best[0]:
+            gain, group, d = best
+            room[b] -= gain
+            bins[d] = b
+            loose.remove(d)
+            loose = sorted([*loose, *group], key=lambda i: -sizes[i])
+    return loose
+
+
 def crossover(sizes: np.ndarray, a: Packing, b: Packing, capacity: int, rng: np.random.Generator) -> Packing:
     """Bins of ``b``, the fuller the likelier, are put whole into ``a``."""
     odds = (b.load / capacity) ** 8
-    take = rng.random(len(odds)) < odds * rng.uniform(0.05, 0.4)
+    take = rng.random(len(odds)) < odds * rng.uniform(0.05, 0.6)
     injected = take[b.bins]
     broken = np.zeros(len(a.load), bool)
     broken[a.bins[injected]] = True
-    # The least filled bins are opened too, so that their pieces get another chance.
-    broken[np.argsort(a.load, kind="stable")[: 2 + len(a.load) // 50]] = True
+    # Some badly filled bins are opened too, so that their pieces get another chance.
+    weak = 1.05 - a.load / capacity
+    opened = min(len(a.load), 1 + int(rng.integers(0, 3 + len(a.load) // 50)))
+    broken[rng.choice(len(a.load), opened, replace=False, p=weak / weak.sum())] = True
     kept = ~injected & ~broken[a.bins]
     bins = np.where(injected, len(a.load) + b.bins, a.bins)
     loose = np.flatnonzero(~injected & ~kept)
@@ -179,20 +223,27 @@ def crossover(sizes: np.ndarray, a: Packing, b: Packing, capacity: int, rng: np.
     out[settled] = bins_now
     room = (capacity - np.bincount(bins_now, sizes[settled], len(names)).astype(np.int64)).tolist()
     result = out.tolist()
-    _best_fit(sizes.tolist(), loose[np.argsort(-sizes[loose], kind="stable")].tolist(), result, room, capacity)
+    open_bins = np.flatnonzero(np.array(room) > 0)
+    members: dict[int, list[int]] = {int(x): [] for x in rng.permutation(open_bins)[:EXCHANGED]}
+    for i in settled[np.isin(bins_now, list(members))].tolist():
+        members[result[i]].append(i)
+    loose = np.array(_exchange(sizes.tolist(), result, room, loose.tolist(), members), np.int64)
+    order = loose[np.argsort(-sizes[loose] * (1 + 0.1 * rng.random() * rng.standard_normal(len(loose))), kind="stable")]
+    _best_fit(sizes.tolist(), order.tolist(), result, room, capacity)
     return Packing(sizes, np.array(result, np.int64), capacity)
 
 
-def breed(sizes: np.ndarray, start: list[Packing], capacity: int, rng: np.random.Generator, children: int = CHILDREN) -> Packing:
+def breed(sizes: np.ndarray, start: list[Packing], capacity: int, rng: np.random.Generator, children: int | None = None) -> Packing:
     """The best packing after some crossovers; stops at the least number of bins possible."""
     bound = -(-int(sizes.sum()) // capacity)
     people = sorted(start, key=lambda p: p.rank)
-    for _ in range(children):
+    for _ in range(min(MOST_CHILDREN, max(CHILDREN, BRED // max(1, len(sizes)))) if children is None else children):
         if people[0].rank[0] <= bound:
             break
         a, b = rng.choice(len(people), 2, replace=len(people) < 2)
-        people.append(crossover(sizes, people[a], people[b], capacity, rng))
-        people = sorted(people, key=lambda p: p.rank)[:4]
+        child = crossover(sizes, people[a], people[b], capacity, rng)
+        if all(child.rank != p.rank for p in people):
+            people = sorted([*people, child], key=lambda p: p.rank)[:PEOPLE]
     return people[0]
 
 
@@ -205,7 +256,7 @@ def _island(capacity: int, level: int, round_: int):
         if round_ == 0:
             start = [first_packing(sizes, capacity, rng, 0.02 * island)]
             if start[0].rank[0] > -(-int(sizes.sum()) // capacity):  # else no packing is better
-                start += [first_packing(sizes, capacity, rng, 0.02 * (k + island)) for k in (1, 2)]
+                start += [first_packing(sizes, capacity, rng, 0.05 * (k + island)) for k in (1, 2, 3, 4)]
         else:
             start = [Packing(sizes, rows[c].to_numpy(), capacity) for c in ("own", "migrant")]
         best = breed(sizes, start, capacity, rng)
@@ -243,6 +294,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end: int = 1, ce
     ``end`` alone. Longer documents are cut every ``capacity`` ids. Rows that share a doc_id, and rows without one,
     are documents of their own. An empty table gives an empty result; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     cut = docs.select("doc_id", "text").mapInArrow(_pieces(tokenizer, capacity, end), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
     pieces = materialize(cut.withColumn("uid", F.monotonically_increasing_id()), "pieces")

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from candela.llm.words import small_batches
 from candela.session import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -212,6 +213,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     documents of their own, and equal texts get equal spans. A surface of two kinds counts as the first listed. An empty table gives an empty result; other
     columns are ignored, whatever their names.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.words import blocks
+from candela.llm.words import blocks, small_batches
 from candela.session import materialize
 
 #: Lower-cased letters of a word; a run of fewer cannot become a word.
@@ -189,6 +189,7 @@ def spelling_variants(docs: DataFrame, least: int = 7, times: int = 2, ratio: in
     texts have no words, a null id counts as the text 'null', repeated rows count again. An empty table gives an
     empty result; other columns are ignored, whatever their names.
     """
+    small_batches(docs.sparkSession)
     words = materialize(vocabulary(docs, least, times), "vocabulary")
     near = _short_near(words)
     if words.where(F.length("word") > LONG).head(1):

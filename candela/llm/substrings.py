@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.words import BLOCK_BYTES, SPACED, Words, blocks, grams, mix, sliding_min, spaced
+from candela.llm.words import BLOCK_BYTES, SPACED, Words, blocks, grams, mix, sliding_min, small_batches, spaced
 
 #: Words of a minimiser.
 GROUP = 3
@@ -267,7 +267,7 @@ def repeated_spans(docs: DataFrame, window: int = 20) -> DataFrame:
     """(_id, _tag, spans): for each document with later copies of a window, [start, stop, ...] of the
     words they cover, in any order and possibly overlapping. ``_id`` is the id or the smallest long
     for null, ``_tag`` the text's hash."""
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     texts = docs.select("text")
     counts = np.zeros(CELLS, np.int64)
     totals = texts.mapInArrow(_cell_counts(window), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.llm.labelled import remainder, sample
-from candela.llm.words import blocks, mix
+from candela.llm.words import blocks, mix, small_batches
 
 ORDERS = (4, 5)
 #: Most labelled rows learned from, by label.
@@ -126,7 +126,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, most: d
     texts hold no n-gram and get the intercept's score; so do all rows if no label can be learned from, with
     score 0. Repeated rows get equal scores; other columns are ignored, whatever their names.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     known_rows = sample(docs, labels, "toxic", most)
     counts = known_rows.mapInArrow(_count, "gram long, toxic long, clean long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     sizes = {r.label: r.n for r in known_rows.groupBy("label").agg(F.count("*").alias("n")).collect()}

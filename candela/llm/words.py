@@ -11,8 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 BLOCK_BYTES = 1 << 20
+#: Bytes of the batches in which Spark hands rows to Python, whatever their number.
+BATCH_BYTES = 8 << 20
 
 _rng = np.random.default_rng(20240229)
 _BYTE_VALUES = _rng.integers(1, 2**64, 256, dtype=np.uint64)
@@ -85,6 +88,12 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np
         row = stop
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the bytes of a batch, so that long texts do not fill a worker; one longer row is a batch of its own."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 class Words:
     """Words of one block. ``first[r]:first[r + 1]`` are the words of row r."""
 

@@ -213,7 +213,6 @@ def test_pack(docs, texts, nothing):
 
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     want = {}
     for i, t in texts:
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
@@ -228,6 +227,52 @@ def test_pack(docs, texts, nothing):
     assert packing.pack(nothing, path).count() == 0
 
 
+def test_added_tokens_are_those_of_the_plain_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    odd = ["x<pad>y [UNK] <|endoftext|>", "<|startoftext|> <|endoftext|> x", "a<|endoftext|>b,c", "<|ENDOFTEXT|> A", "don't<|endoftext|>'s <|endoftext", "İ<|startoftext|>İ ", "plain, text", None]
+    rows = [(i, t) for i, t in enumerate([*odd, " ".join(map(str, odd)) * 400])]
+    want = {i: zlib.crc32(np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4").tobytes()) for i, t in rows}
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), path, capacity=10**6)
+    assert {r.doc_id: r.ids_crc32 for r in got.collect()} == want
+
+
+def cut_bins(seed, bins, capacity):
+    """Pieces of full bins, each cut in two to four."""
+    rng = np.random.default_rng(seed)
+    cuts = [np.sort(rng.choice(np.arange(1, capacity), int(rng.integers(1, 4)), replace=False)) for _ in range(bins)]
+    return rng.permutation(np.concatenate([np.diff([0, *c, capacity]) for c in cuts]))
+
+
+def test_breeding_beats_best_fit_decreasing():
+    missed = reached = 0
+    for seed in range(40):
+        sizes = cut_bins(seed, 8, 100)
+        rng = np.random.default_rng(1)
+        plain = packing.first_packing(sizes, 100, rng, 0.0)
+        start = [plain, *(packing.first_packing(sizes, 100, rng, 0.05 * k) for k in (1, 2, 3, 4))]
+        best = packing.breed(sizes, start, 100, rng)
+        assert (np.bincount(best.bins, sizes) <= 100).all() and best.rank[0] <= plain.rank[0]
+        if plain.rank[0] > 8:
+            missed += 1
+            reached += best.rank[0] == 8
+    assert missed >= 25 and reached >= 0.6 * missed
+
+
+def test_islands_reach_a_packing_that_best_fit_misses(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    seeds = [s for s in range(20) if packing.first_packing(cut_bins(s, 8, 100), 100, np.random.default_rng(0), 0.0).rank[0] > 8][:4]
+    found = []
+    for seed in seeds:
+        docs = spark.createDataFrame([(i, " ".join(["a"] * (int(n) - 1))) for i, n in enumerate(cut_bins(seed, 8, 100))], "doc_id long, text string")
+        rows = packing.pack(docs, path, capacity=100).toPandas()
+        assert rows.groupby("sequence_id").length.sum().max() <= 100 and rows.length.sum() == 800
+        found.append(rows.sequence_id.nunique())
+    assert sum(n == 8 for n in found) >= 3
+
+
 def test_crossover_keeps_every_piece():
     rng = np.random.default_rng(0)
     sizes = rng.integers(1, 400, 500)
