@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.words import ALNUM, Words, blocks, grams, sliding_min
+from candela.llm.words import ALNUM, Words, blocks, grams, sliding_min, small_batches
 from candela.session import materialize
 
 GRAM = 5
@@ -115,7 +115,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, carry
     and rows without one, are judged one by one. Copies of a benchmark row count once; an item
     without an id counts as the id ''. Other columns are ignored, whatever their names.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     tests = materialize(
         benchmark.select(F.col("item_id").cast("string"), "text").mapInArrow(
             _test_windows(window), "item_id string, size int, words string, cells array<long>"

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.llm.labelled import remainder, sample
-from candela.llm.words import SPACED, Words, blocks
+from candela.llm.words import SPACED, Words, blocks, small_batches
 
 #: Most labelled rows learned from, by label; their vectors are what is broadcast.
 SAMPLE = {0: 1500, 1: 1500}
@@ -94,7 +94,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, most: di
     Without usable labels every score is 0.5. Repeated rows get equal scores; other columns are
     ignored, whatever their names.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
 
     def count(batches):
         for batch in batches:

@@ -3,6 +3,9 @@
 A document's features are the n-grams it holds, lower-cased, anything but letters counting as a blank. Each is worth its
 log-count ratio: how much likelier toxic documents hold it. A logistic regression on the most
 telling ones is fitted on a bounded sample; all documents are scored over their whole text.
+
+A regression on rare labels puts most scores below a half. So the intercept is moved to where predictions of learning
+rows are best (F1): they come from models fitted, ratios and choice of n-grams included, without the row's own fold.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 
 from candela.llm.labelled import remainder, sample
 from candela.llm.words import blocks, mix, small_batches
+from candela.session import materialize
 
 ORDERS = (4, 5)
 #: Most labelled rows learned from, by label.
@@ -22,6 +26,9 @@ FEATURES = 4096
 #: Documents of the sample that must hold an n-gram.
 SUPPORT = 5
 CELLS = 1 << 20
+#: Folds of the learning rows, by a hash of the id, for the intercept.
+FOLDS = 3
+_COUNTS = [f"{name}_{k}" for k in range(FOLDS) for name in ("toxic", "clean")]
 
 _LETTERS = np.full(0x3000, 0x20, np.uint32)
 for _c in range(0x3000):
@@ -71,14 +78,15 @@ def _distinct(row: np.ndarray, gram: np.ndarray):
 
 
 def _count(batches):
+    """Documents of each fold and label that hold an n-gram."""
     for batch in batches:
-        label = batch.column("label").to_numpy()
+        label, fold = (batch.column(c).to_numpy() for c in ("label", "fold"))
         for first, data, offsets in blocks(batch.column("text")):
             row, gram = _held(data, offsets)
             grams, back = np.unique(gram, return_inverse=True)
-            toxic = label[first + row] == 1
-            one = np.bincount(back, toxic, len(grams)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(one), pa.array(np.bincount(back, minlength=len(grams)) - one)], names=["gram", "toxic", "clean"])
+            kind = 2 * fold[first + row] + (label[first + row] != 1)
+            counts = [np.bincount(back[kind == k], minlength=len(grams)) for k in range(2 * FOLDS)]
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), *map(pa.array, counts)], names=["gram", *_COUNTS])
 
 
 def _lookup(known: np.ndarray, sieve: np.ndarray, data, offsets):
@@ -119,29 +127,49 @@ def fit_logistic(row, feature, value, label, features: int, penalty: float = 1.0
     return w[:-1], float(w[-1])
 
 
+def best_cut(z: np.ndarray, label: np.ndarray) -> float:
+    """The value from which predicting label 1 has the best F1; between it and the next smaller value."""
+    order = np.argsort(-z, kind="stable")
+    hits = np.cumsum(label[order] == 1)
+    f1 = 2 * hits / (np.arange(1, len(z) + 1) + hits[-1])
+    f1[:-1][z[order][1:] == z[order][:-1]] = -1  # equal values fall together
+    k = int(f1.argmax())
+    below = z[order][k + 1] if k + 1 < len(z) else z[order][k]
+    return float(z[order][k] + below) / 2
+
+
+def _ratio(toxic, clean, ones: int, zeros: int):
+    """Log-count ratio of columns or arrays."""
+    log = F.log if not isinstance(toxic, np.ndarray) else np.log
+    return log((toxic + 1) / (F.lit(ones + 2) if log is F.log else ones + 2)) - log((clean + 1) / (F.lit(zeros + 2) if log is F.log else zeros + 2))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, most: dict[int, int] = SAMPLE) -> DataFrame:
     """One row per document row: doc_id, held_out, score (0 to 1), predicted.
 
     Learns from at most ``most`` labelled rows of each label, none of them held out. Null and empty
     texts hold no n-gram and get the intercept's score; so do all rows if no label can be learned from, with
-    score 0. Repeated rows get equal scores; other columns are ignored, whatever their names.
+    score 0. Repeated rows get equal scores; other columns are ignored, whatever their names. FEATURES n-grams held by
+    at least SUPPORT documents of the sample are used.
     """
     spark = small_batches(docs.sparkSession)
-    known_rows = sample(docs, labels, "toxic", most)
-    counts = known_rows.mapInArrow(_count, "gram long, toxic long, clean long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    sizes = {r.label: r.n for r in known_rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
-    ratio = F.log((F.col("toxic") + 1) / F.lit(ones + 2)) - F.log((F.col("clean") + 1) / F.lit(zeros + 2))
-    telling = F.abs(ratio) * F.sqrt(F.col("toxic") + F.col("clean"))
-    best = (
-        counts.where(F.col("toxic") + F.col("clean") >= SUPPORT).select("gram", ratio.alias("ratio"), telling.alias("telling"))
-        .orderBy(F.desc("telling"), "gram").limit(FEATURES).toArrow()  # FEATURES rows at most
-    )
-    known = best.column("gram").to_numpy().view(np.uint64)
-    order = np.argsort(known)
-    known, ratios = known[order], best.column("ratio").to_numpy()[order]
+    known_rows = sample(docs, labels, "toxic", most).withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int"))
+    kinds = ", ".join(f"{c} long" for c in _COUNTS)
+    counts = known_rows.mapInArrow(_count, f"gram long, {kinds}").groupBy("gram").agg(*(F.sum(c).alias(c) for c in _COUNTS))
+    total = [sum((F.col(c) for c in _COUNTS[j::2]), F.lit(0)) for j in (0, 1)]
+    counts = materialize(counts.where(total[0] + total[1] >= SUPPORT), "gram-counts")
+    sizes = {(r.fold, r.label): r.n for r in known_rows.groupBy("fold", "label").agg(F.count("*").alias("n")).collect()}
+    size = lambda label, without: sum(n for (fold, x), n in sizes.items() if x == label and fold != without)
+    # Without a fold and with all of them: the most telling n-grams, FEATURES rows at most each.
+    parts = []
+    for without in (*range(FOLDS), None):
+        toxic, clean = (sum((F.col(f"{name}_{k}") for k in range(FOLDS) if k != without), F.lit(0)) for name in ("toxic", "clean"))
+        telling = F.abs(_ratio(toxic, clean, size(1, without), size(0, without))) * F.sqrt(toxic + clean)
+        chosen = counts.where(toxic + clean >= SUPPORT).orderBy(F.desc(telling), "gram").limit(FEATURES)
+        parts.append(chosen.toArrow())
+    known = np.unique(np.concatenate([t.column("gram").to_numpy() for t in parts]).view(np.uint64))
     weights, intercept = np.zeros(len(known)), -30.0
-    if len(known) and ones and zeros:
+    if len(known) and size(1, None) and size(0, None):
         shared = spark.sparkContext.broadcast((known, _sieve(known)))
 
         def rows(batches):
@@ -150,14 +178,33 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, most: d
                     row, feature = _lookup(*shared.value, data, offsets)
                     cut = np.searchsorted(row, np.arange(len(offsets)))
                     lists = pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(feature.astype(np.int16)))
-                    yield pa.RecordBatch.from_arrays([batch.column("label").slice(first, len(offsets) - 1).cast(pa.int32()), lists], names=["label", "features"])
+                    yield pa.RecordBatch.from_arrays([batch.column(c).slice(first, len(offsets) - 1).cast(pa.int32()) for c in ("label", "fold")] + [lists], names=["label", "fold", "features"])
 
-        table = known_rows.mapInArrow(rows, "label int, features array<short>").toArrow().combine_chunks()  # sum(most) rows
+        table = known_rows.mapInArrow(rows, "label int, fold int, features array<short>").toArrow().combine_chunks()  # sum(most) rows
         lists = table.column("features").combine_chunks()
-        sizes_of = np.diff(lists.offsets.to_numpy())
         feature = lists.values.to_numpy().astype(np.int64)
-        w, intercept = fit_logistic(np.repeat(np.arange(len(sizes_of)), sizes_of), feature, ratios[feature], table.column("label").to_numpy(), len(known))
-        weights = w * ratios
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        label, fold = (table.column(c).to_numpy() for c in ("label", "fold"))
+
+        def fitted(without: int | None, part: pa.Table):
+            """Weights of all n-grams and intercept, from the rows of the other folds."""
+            held = [np.sum([part.column(f"{name}_{k}").to_numpy() for k in range(FOLDS) if k != without], axis=0) for name in ("toxic", "clean")]
+            at = np.searchsorted(known, part.column("gram").to_numpy().view(np.uint64))
+            ratios = np.zeros(len(known))
+            ratios[at] = _ratio(*held, size(1, without), size(0, without))
+            used = np.flatnonzero((fold[row] != (-1 if without is None else without)) & (ratios[feature] != 0))
+            among = fold != (-1 if without is None else without)
+            place = np.cumsum(among) - 1
+            w, b = fit_logistic(place[row[used]], feature[used], ratios[feature[used]], label[among], len(known))
+            return w * ratios, b
+
+        z = np.zeros(len(label))
+        for k in range(FOLDS):
+            if size(1, k) and size(0, k):
+                w, b = fitted(k, parts[k])
+                z[fold == k] = (np.bincount(row, w[feature], len(label)) + b)[fold == k]
+        weights, intercept = fitted(None, parts[-1])
+        intercept -= best_cut(z, label) if len(set(fold)) > 1 else 0.0
     model = spark.sparkContext.broadcast((known, _sieve(known), weights, intercept))
 
     def score(batches):
