@@ -2,9 +2,14 @@
 
 A page is read as a stream of blocks: the path of elements around a block, and its text. Streams of
 one host are aligned step by step into a wrapper, an expression without unions: where two streams
-differ, the part becomes optional, or a repeated group if it repeats what stands beside it; texts
-that differ become slots, texts that all pages share stay constants. Slots of the article make up
-the main text; constants, and slots in menus, notices, adverts, comments and the like, do not.
+differ, the part becomes optional, or a repeated group if it repeats what stands beside it. Each place of a wrapper,
+also inside repeated and optional groups, counts on how many pages it stands and the texts most pages have there.
+A text that most pages with the place share is a constant, every other one fills a slot. Slots make up the main text,
+inside an article or main element if the page has one; constants do not, wherever they stand.
+
+Where pages are copies of each other nothing varies, and shares tell nothing; their texts stay. Names of elements
+are a heuristic for what varies from page to page without being main text (comments, adverts, related links): they
+count for the exact element, and never for one that holds the article or nearly all text of the page.
 
 Pages are folded into wrappers where they lie, so what is shuffled is one wrapper a host and batch.
 """
@@ -24,8 +29,12 @@ from pyspark.sql import functions as F
 
 from candela.llm.words import small_batches
 
-#: A text shared by this many aligned pages, and by all that have its place, is a constant.
-CONSTANT_PAGES = 3
+#: A text shared by this many aligned pages, and by this part of those that have its place, is a constant.
+CONSTANT_PAGES, SHARE = 3, 0.8
+#: Texts counted at one place; of more, those rarer than one in so many are forgotten first.
+TEXTS = 128
+#: An element that holds this part of a page's text is no boilerplate, whatever its names say.
+NEARLY_ALL = 0.9
 #: Longest group of blocks looked for as a repetition.
 GROUP = 6
 #: Wrappers of a host are first folded in this many parts.
@@ -41,31 +50,66 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 ASIDE = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "fieldset", "noscript"}
 NAMED = {"ad", "ads", "advert", "advertisement", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "disqus", "footer", "gdpr", "header", "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notification", "pagination", "popup", "promo", "promotion", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 MAIN = {"article", "main"}
+#: Names that make an article element a comment or a teaser, and first parts that turn a name into a remark about the page.
+NO_ARTICLE = {"ad", "ads", "advert", "comment", "comments", "promo", "related", "replies", "reply", "sidebar", "sponsored", "teaser", "widget"}
+REMARKS = {"has", "is", "js", "no", "not", "with", "without"}
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PARTS_OF_NAME = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-
-
-def _element(name: str, attributes: str) -> str:
-    """The element's name, marked with '!' if its names tell that it is no main text."""
-    if attributes and len(attributes) > 3:
-        if _HIDDEN.search(attributes):
-            return name + "!"
-        names = [m[2] or m[3] or m[4] or "" for m in _NAMES.finditer(attributes)]
-        parts = {p.lower() for n in names for p in _PARTS_OF_NAME.findall(n)}
-        if parts & NAMED and name not in ("body", "html") and not (name in MAIN):
-            return name + "!"
-    return name
+_VALUES = re.compile(r"""=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""")
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
+_NOT_SHOWN = re.compile(r"""aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none""", re.I)
+
+
+def _marked(name: str, attributes: str, inside: bool) -> bool:
+    """Whether an element's attributes tell that it is no main text; ``inside``: it stands in an article."""
+    if len(attributes) <= 3:
+        return False
+    if _NOT_SHOWN.search(attributes) or _HIDDEN.search(_VALUES.sub("=", attributes)):
+        return True
+    if name in ("body", "html"):
+        return False
+    words = {w for m in _NAMES.finditer(attributes) for w in (m[2] or m[3] or m[4] or "").split()}
+    parts = [[p.lower() for p in _PARTS_OF_NAME.findall(w)] for w in words]
+    found = {p for some in parts if some and some[0] not in REMARKS for p in some}
+    return bool(found & (NO_ARTICLE if name in MAIN else NAMED - {"header"} if inside else NAMED))
+
+
+class _Element:
+    """An open element; ``mark`` tells that its attributes speak against main text, ``size`` its text."""
+
+    __slots__ = ("mark", "name", "size")
+
+    def __init__(self, name: str, mark: bool):
+        self.name, self.mark, self.size = name, mark, 0
+
+
+def _paths(found: list[tuple[list[_Element], str]]) -> list[tuple[str, str]]:
+    """(path, text) of the blocks; marks of elements that hold the article or nearly all text are taken back."""
+    total = sum(len(text) for _, text in found)
+    every = {id(e): e for stack, _ in found for e in stack}
+    for stack, text in found:
+        for e in stack:
+            e.size += len(text)
+    for e in every.values():
+        if e.mark and e.size >= NEARLY_ALL * total and e.name not in MAIN:
+            e.mark = False
+    held = [(stack, i) for stack, _ in found for i, e in enumerate(stack) if e.name in MAIN and not e.mark]
+    if held and not any(all(not e.mark and e.name not in ASIDE for e in stack[:i]) for stack, i in held):
+        stack, i = max(held, key=lambda h: h[0][h[1]].size)
+        for e in stack[:i]:
+            e.mark = False
+            e.name = "div" if e.name in ASIDE else e.name
+    return [("/".join(e.name + "!" * e.mark for e in stack), text) for stack, text in found]
 
 
 def page_blocks(page: str) -> list[tuple[str, str]]:
     """(path, text) of the blocks of a page in order; raw elements and comments are left out."""
-    out: list[tuple[str, str]] = []
-    stack: list[str] = []
+    found: list[tuple[list[_Element], str]] = []
+    stack: list[_Element] = []
     text: list[str] = []
     at, head = 0, False
     endless: set[str] = set()  # raw elements without a further end tag
@@ -75,7 +119,7 @@ def page_blocks(page: str) -> list[tuple[str, str]]:
             words = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if words:
-                out.append(("/".join(stack), words))
+                found.append((list(stack), words))
 
     while m := _MARKUP.search(page, at):
         if m.start() > at:
@@ -115,23 +159,23 @@ def page_blocks(page: str) -> list[tuple[str, str]]:
         flush()
         if closing:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i].rstrip("!") == name:
+                if stack[i].name == name:
                     del stack[i:]
                     break
         else:
             gone = CLOSES.get(name)
             if gone is None and name not in INLINE:
                 gone = {"p"}
-            while stack and stack[-1].rstrip("!") in gone:
+            while stack and stack[-1].name in gone:
                 stack.pop()
-            stack.append(_element(name, m[3] or m[6] or ""))
+            stack.append(_Element(name, _marked(name, m[3] or m[6] or "", any(e.name in MAIN for e in stack))))
     if at < len(page):
         text.append(page[at:])
     flush()
-    return out
+    return _paths(found)
 
 
-# A wrapper is a list of nodes: ["t", path, constant or None, pages], ["r", nodes], ["o", nodes].
+# A wrapper is a list of nodes: ["t", path, pages, {text hash: pages with it}], ["r", nodes], ["o", nodes].
 
 
 def _key(node) -> str:
@@ -139,10 +183,21 @@ def _key(node) -> str:
     return node[1] if node[0] == "t" else "(" + ",".join(map(_key, node[1])) + ")"
 
 
+def _counted(a: dict, b: dict, together: bool) -> dict:
+    """Counts of the texts of two nodes; beyond TEXTS of them, all lose as much as the next one has."""
+    out = dict(a)
+    for text, n in b.items():
+        out[text] = max(out.get(text, 0), n) if together else out.get(text, 0) + n
+    if len(out) > TEXTS:
+        lost = sorted(out.values(), reverse=True)[TEXTS]
+        out = {text: n - lost for text, n in out.items() if n > lost}
+    return out
+
+
 def _join(a, b, together: bool):
     """One node for two aligned ones; ``together``: both stand on one page."""
     if a[0] == "t" and b[0] == "t":
-        return ["t", a[1], a[2] if a[2] == b[2] else None, max(a[3], b[3]) if together else a[3] + b[3]]
+        return ["t", a[1], max(a[2], b[2]) if together else a[2] + b[2], _counted(a[3], b[3], together)]
     kind = "r" if "r" in (a[0], b[0]) else "o"
     inner = [x[1] if x[0] != "t" else [x] for x in (a, b)]
     return [kind, [_join(x, y, together) for x, y in zip(*inner, strict=True)]]
@@ -190,7 +245,11 @@ def align(a: list, b: list) -> list:
 
 
 def page_wrapper(blocks: list[tuple[str, str]]) -> list:
-    return collapse([["t", path, zlib.crc32(text.encode()), 1] for path, text in blocks])
+    return collapse([["t", path, 1, {_hash(text): 1}] for path, text in blocks])
+
+
+def _hash(text: str) -> str:
+    return f"{zlib.crc32(text.encode()):x}"
 
 
 def _texts(nodes):
@@ -219,20 +278,24 @@ class Rules:
     """What a wrapper tells about the blocks of its host's pages."""
 
     def __init__(self, nodes: list):
-        self.main = any(_in_main(n[1]) and not _boilerplate(n[1]) for n in _texts(nodes))
-        slots = {n[1] for n in _texts(nodes) if n[2] is None or n[3] < CONSTANT_PAGES}
-        # Without a slot outside boilerplate the pages are copies, and nothing tells constants apart.
-        told = any(not _boilerplate(p) for p in slots)
-        self.constants = {(n[1], n[2]) for n in _texts(nodes) if n[2] is not None and n[3] >= CONSTANT_PAGES} if told else set()
+        self.constants, varies = set(), False
+        for _, path, pages, texts in _texts(nodes):
+            shared = {t for t, n in texts.items() if n >= CONSTANT_PAGES and n >= SHARE * pages}
+            self.constants |= {(path, t) for t in shared}
+            # Texts forgotten, or others than those shared, show that pages differ.
+            varies |= not _boilerplate(path) and pages > 1 and (len(texts) > len(shared) or not texts)
+        if not varies:
+            self.constants = set()
 
     def main_text(self, blocks: list[tuple[str, str]]) -> str:
         kept = [b for b in blocks if not _boilerplate(b[0])]
         article = [b for b in kept if _in_main(b[0])]
-        if self.main and article:
-            kept = article
-        else:
-            kept = [b for b in kept if (b[0], zlib.crc32(b[1].encode())) not in self.constants]
-        return " ".join(text for _, text in kept)
+        slots = [b for b in article or kept if (b[0], _hash(b[1])) not in self.constants]
+        size = lambda some: sum(len(t) for _, t in some)
+        # An article with over a third of constants is a copy of others, in part at least; so is a page without any slot.
+        if (article and 3 * size(slots) < 2 * size(article)) or not slots:
+            slots = article or kept
+        return " ".join(text for _, text in slots)
 
 
 def _fold(batches):
