@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.timeline import BLK, KEEP, POS, TOTAL, blocked, block_window, positioned
+from candela.timeline import BLK, KEEP, POS, TOTAL, blocked, block_window, positioned, slice_id
 
 SELL, HOLD, BUY = 0, 1, 2
 MAX_HOLDING = 240
@@ -86,23 +86,39 @@ def _extremes_by_rows(df: DataFrame, price: str, steps: int) -> DataFrame:
 def _extremes_by_time(df: DataFrame, price: str, minutes: int) -> DataFrame:
     """As :func:`_extremes_by_rows`, also ending ``minutes`` whole minutes after the bar.
 
-    Where the row limit is reached first the row result stands; otherwise the time frame holds
-    fewer rows than the limit and its own extremes count.
+    Where the row limit is reached first the row result stands. Otherwise time is cut into cells as long as the
+    window, which is then the rest of a bar's cell and the head of the next one. Rest and head are running extremes;
+    the head's end is found by reading bars and window ends in one order of time. Each bar is handled twice, however
+    many bars its window holds.
     """
     df = _extremes_by_rows(df, price, minutes)
     span = (minutes + 1) * _MINUTE_US - 1
-    df = df.withColumn("_us", F.unix_micros("timestamp"))
-    frame = Window.partitionBy("ticker", BLK).orderBy("_us").rangeBetween(1, span)
-    limit = F.lead("_us", minutes).over(Window.partitionBy("ticker", BLK).orderBy("_us"))
-    high, low = _best_high(price).over(frame), _best_low(price).over(frame)
-    by_rows = limit - F.col("_us") <= span
-    df = df.withColumns({"_thi": high, "_tlo": low, "_by_rows": F.coalesce(by_rows, F.lit(False))})
-    return df.withColumns(
-        {
-            "_hi": F.when(F.col("_by_rows"), F.col("_hi")).otherwise(F.col("_thi")),
-            "_lo": F.when(F.col("_by_rows"), F.col("_lo")).otherwise(F.col("_tlo")),
-        }
-    ).drop("_thi", "_tlo", "_by_rows", "_us")
+    us, cell = F.col("_us"), F.col("_cell")
+    df = df.withColumn("_us", F.unix_micros("timestamp")).withColumn("_cell", slice_id(us, span))
+    high, low = _best_high(price), _best_low(price)
+    cells = Window.partitionBy("ticker", BLK, "_cell")
+    down = cells.orderBy(us.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    up = cells.orderBy("_us").rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("_rest", F.struct(cell.alias("cell"), high.over(down).alias("hi"), low.over(down).alias("lo")))
+    df = df.withColumn("_head", F.struct(cell.alias("cell"), high.over(up).alias("hi"), low.over(up).alias("lo")))
+    series = Window.partitionBy("ticker", BLK).orderBy("_us")
+    df = df.withColumns({"_next": F.lead("_rest", 1).over(series), "_limit": F.lead("_us", minutes).over(series)})
+
+    # A window's end comes after a bar of the same time.
+    ends = F.explode(F.array(F.struct(us.alias("at"), F.lit(0).alias("end")), F.struct((us + span).alias("at"), F.lit(1).alias("end"))))
+    both = df.withColumn("_e", ends)
+    so_far = Window.partitionBy("ticker", BLK).orderBy("_e.at", "_e.end").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.last(F.when(F.col("_e.end") == 0, F.col("_head")), ignorenulls=True).over(so_far)
+    df = both.withColumn("_last", last).where("_e.end = 1")
+
+    def extreme(end: str, best: Callable) -> Column:
+        rest = F.when(F.col("_next.cell") == cell, F.col(f"_next.{end}"))
+        head = F.when(F.col("_last.cell") == cell + 1, F.col(f"_last.{end}"))
+        by_rows = F.coalesce(F.col("_limit") - us <= span, F.lit(False))
+        return F.when(by_rows, F.col(f"_{end}")).otherwise(best(rest, head))
+
+    df = df.withColumns({"_hi": extreme("hi", F.greatest), "_lo": extreme("lo", F.least)})
+    return df.drop("_us", "_cell", "_rest", "_head", "_next", "_limit", "_e", "_last")
 
 
 def trade_labels(

@@ -145,6 +145,21 @@ def test_trade_labels_match_loop(bars, bars_pdf, steps, by_time, rows):
     np.testing.assert_allclose(got.profit, want.profit, rtol=1e-12)
 
 
+@pytest.mark.parametrize("per_minute,steps", [(100, 5), (7, 60), (100, 700)])
+def test_labels_of_dense_bars_match_loop(spark, per_minute, steps):
+    """Many bars a minute, with pauses; either the time or the row limit ends a window."""
+    rng = np.random.default_rng(per_minute + steps)
+    gaps = rng.integers(1, 2 * 60_000_000 // per_minute, 1500)
+    gaps[rng.integers(0, 1500, 12)] += steps * 60_000_000 * rng.integers(1, 4, 12)
+    src = pd.DataFrame({"timestamp": pd.Timestamp("2024-03-01") + pd.to_timedelta(gaps.cumsum(), unit="us"), "ticker": "D",
+                        "close": np.round(100 + rng.normal(0, 0.2, 1500).cumsum(), 2)})
+    got = by_key(trade_labels(spark.createDataFrame(src), max_holding=steps, min_profit=0.001, by_time=True))
+    want = loop_labels(src, steps, 0.001, True)
+    for c in ("signal", "position_size", "timing_minutes"):
+        assert (got[c].to_numpy() == want[c].to_numpy()).all(), c
+    np.testing.assert_allclose(got.profit, want.profit, rtol=1e-12)
+
+
 def test_label_micro_case(spark):
     df = spark.sql("""select timestamp'2024-01-01' + make_dt_interval(0,0,i) as timestamp, 'X' as ticker,
         c as close from values (0, 100d), (1, 101d), (2, 101d), (3, 98d) as t(i, c)""")
