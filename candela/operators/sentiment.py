@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candela.operators.moments import merged, merge_two, moments, sample_deviation
 from candela.timeline import slice_id
 
 DAY_HOURS = 24
@@ -26,6 +27,8 @@ def sentiment_window(
 ) -> DataFrame:
     """One row per bar: mean, count, sample deviation, max and min of its news; 0 without news.
 
+    Articles without a score count as articles only. Bars of one time give one row.
+
     Time is cut into slices of ``hours / slices``. A window is then the rest of its first slice,
     the whole slices between, and the start of its last slice. The two ends are running sums over
     one (ticker, slice) group, and whole slices are added as one point at the start of the last
@@ -35,28 +38,11 @@ def sentiment_window(
     width = hours * _HOUR_US // slices
     span = width * slices
     at = F.col("_at")
-    zero = F.lit(None).cast("double")
 
     # Articles at the same instant always share their windows, so they are summed up first.
-    points = (
-        news.where(F.col("sentiment").isNotNull() & F.col("published_at").isNotNull())
-        .groupBy("ticker", F.unix_micros("published_at").alias("_at"))
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.sum("sentiment").alias("_s"),
-            F.sum(F.col("sentiment") * F.col("sentiment")).alias("_q"),
-            F.max("sentiment").alias("_hi"),
-            F.min("sentiment").alias("_lo"),
-        )
-        .withColumn("_sl", slice_id(at, width))
-    )
-    sums = [
-        F.sum("_n").alias("_n"),
-        F.sum("_s").alias("_s"),
-        F.sum("_q").alias("_q"),
-        F.max("_hi").alias("_hi"),
-        F.min("_lo").alias("_lo"),
-    ]
+    dated = news.where(F.col("published_at").isNotNull())
+    instant = F.unix_micros("published_at")
+    points = dated.groupBy("ticker", instant.alias("_at")).agg(moments("sentiment").alias("_m")).withColumn("_sl", slice_id(at, width))
 
     # End 0 reads a slice forwards from its start, end 1 backwards from its end. At equal times a
     # forward probe comes before the articles and a backward probe after them.
@@ -79,13 +65,10 @@ def sentiment_window(
         lane(probes, entry(0, last, at, 0), entry(1, first, span - at, 2)),
     ]
     if slices > 1:
-        between = (
-            points.groupBy("ticker", "_sl")
-            .agg(*sums)
-            .withColumn("_sl", F.explode(F.sequence(sl + 1, sl + (slices - 1))))
-            .groupBy("ticker", "_sl")
-            .agg(*sums)
-        )
+        whole = dated.groupBy("ticker", slice_id(instant, width).alias("_sl")).agg(moments("sentiment").alias("_m"))
+        targets = whole.select("ticker", "_m", sl.alias("_from"), F.explode(F.sequence(sl + 1, sl + (slices - 1))).alias("_sl"))
+        between = targets.groupBy("ticker", "_sl").agg(F.sort_array(F.collect_list(F.struct("_from", "_m"))).alias("_parts"))  # slices - 1 at most
+        between = between.select("ticker", "_sl", merged(F.transform("_parts", lambda p: p["_m"])).alias("_m"))
         parts.append(lane(between, entry(0, sl, sl * width - 1, 0)))
     lanes = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
 
@@ -94,33 +77,39 @@ def sentiment_window(
         .orderBy("_axis", "_rank")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    halves = lanes.select(
+    # Running sums of distances from the first score, which every later sum holds too, keep their digits.
+    n, off = F.col("_m.n"), F.col("_m.mean") - F.col("_c")
+    halves = lanes.withColumn("_c", F.first("_m.mean", ignorenulls=True).over(seen)).select(
         "ticker",
         "_bar",
-        F.sum("_n").over(seen).alias("_n"),
-        F.sum("_s").over(seen).alias("_s"),
-        F.sum("_q").over(seen).alias("_q"),
-        F.max("_hi").over(seen).alias("_hi"),
-        F.min("_lo").over(seen).alias("_lo"),
+        "_end",
+        "_c",
+        F.sum("_m.rows").over(seen).alias("rows"),
+        F.sum("_m.n").over(seen).alias("n"),
+        F.sum(n * off).over(seen).alias("_s"),
+        F.sum(F.col("_m.m2") + n * off * off).over(seen).alias("_q"),
+        F.max("_m.hi").over(seen).alias("hi"),
+        F.min("_m.lo").over(seen).alias("lo"),
     ).where(F.col("_bar").isNotNull())
-    both = halves.groupBy("ticker", F.col("_bar").alias("timestamp")).agg(*sums)
-
-    n, s, q = F.col("_n"), F.col("_s"), F.col("_q")
-    variance = F.greatest(F.try_divide(q - s * s / n, n - 1), F.lit(0.0))
-    std = (
-        F.when(n.isNull(), 0.0)
-        .when(n == 1, zero)
-        .when(F.col("_hi") == F.col("_lo"), 0.0)
-        .otherwise(F.sqrt(variance))
-    )
-    return both.select(
+    apart = F.try_divide(F.col("_s"), F.col("n"))
+    half = F.struct(
+        "rows", "n", (F.col("_c") + apart).alias("mean"), F.greatest(F.col("_q") - F.col("_s") * apart, F.lit(0.0)).alias("m2"), "hi", "lo"
+    )
+    # A bar that comes twice has two equal halves of each kind.
+    one = lambda end: F.any_value(F.when((F.col("_end") == end) & F.col("rows").isNotNull(), half), ignoreNulls=F.lit(True))
+    both = halves.groupBy("ticker", F.col("_bar").alias("timestamp")).agg(one(0).alias("_h0"), one(1).alias("_h1"))
+    # Bars without news have no half.
+    every = both.select("ticker", "timestamp", merge_two(F.col("_h0"), F.col("_h1")).alias("_m"))
+    m = F.col("_m")
+    or_zero = lambda c: F.when(m.isNull(), F.lit(0.0)).otherwise(c)
+    return every.select(
         "ticker",
         "timestamp",
-        F.coalesce(s / n, F.lit(0.0)).alias("sentiment_mean"),
-        F.coalesce(n, F.lit(0)).alias("sentiment_count"),
-        std.alias("sentiment_std"),
-        F.coalesce("_hi", F.lit(0.0)).alias("sentiment_max"),
-        F.coalesce("_lo", F.lit(0.0)).alias("sentiment_min"),
+        or_zero(m["mean"]).alias("sentiment_mean"),
+        F.coalesce(m["rows"], F.lit(0)).alias("sentiment_count"),
+        or_zero(F.when((m["n"] > 1) & (m["hi"] == m["lo"]), F.lit(0.0)).otherwise(sample_deviation(m))).alias("sentiment_std"),
+        or_zero(m["hi"]).alias("sentiment_max"),
+        or_zero(m["lo"]).alias("sentiment_min"),
     )
 
 

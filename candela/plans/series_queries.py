@@ -290,10 +290,11 @@ def split(t):
     return time_split(t.bars_h, 0.2).select(*KEYS, "is_validation")
 
 
-SENTIMENT_SQL = """sent as (select b.ticker, b.timestamp, coalesce(avg(n.sentiment), 0) as sentiment_mean,
-  count(n.sentiment) as sentiment_count,
-  case when count(n.sentiment) = 0 then 0 else stddev_samp(n.sentiment) end as sentiment_std,
-  coalesce(max(n.sentiment), 0) as sentiment_max, coalesce(min(n.sentiment), 0) as sentiment_min
+SENTIMENT_SQL = """sent as (select b.ticker, b.timestamp, count(n.published_at) as sentiment_count,
+  case when count(n.published_at) = 0 then 0 else avg(n.sentiment) end as sentiment_mean,
+  case when count(n.published_at) = 0 then 0 else stddev_samp(n.sentiment) end as sentiment_std,
+  case when count(n.published_at) = 0 then 0 else max(n.sentiment) end as sentiment_max,
+  case when count(n.published_at) = 0 then 0 else min(n.sentiment) end as sentiment_min
 from {bars} b left join {news} n on n.ticker = b.ticker
   and n.published_at >= b.timestamp - interval 24 hour and n.published_at < b.timestamp
 group by 1, 2)"""
@@ -309,6 +310,19 @@ def sentiment_24h(t):
     return sentiment_window(t.bars_h, t.news_h)
 
 
+_GAPPY_NEWS = """gappy as (select * replace (case when uuid % 3 <> 0 and ticker <> 'view' then 1000 + sentiment end as sentiment) from news_h),
+few as (select * from bars_h where ticker <> 'click' or hour(timestamp) % 5 = 0)"""
+
+
+@query("sentiment_24h_gaps", f"with {_GAPPY_NEWS}, {SENTIMENT_SQL.format(bars='few', news='gappy')} {_SENTIMENT_OUT}")
+def sentiment_24h_gaps(t):
+    """Scores far from zero, many missing, for one ticker all; every bar comes twice."""
+    scored = (F.col("uuid") % 3 != 0) & (F.col("ticker") != "view")
+    news = t.news_h.withColumn("sentiment", F.when(scored, F.lit(1000.0) + F.col("sentiment")))
+    few = t.bars_h.where("ticker <> 'click' or hour(timestamp) % 5 = 0")
+    return sentiment_window(few.unionByName(few), news)
+
+
 @query("sentiment_24h_daily", f"with {SENTIMENT_SQL.format(bars='bars_d', news='news_d')} {_SENTIMENT_OUT}")
 def sentiment_24h_daily(t):
     return sentiment_window(t.bars_d, t.news_d)

@@ -168,3 +168,22 @@ def test_unknown_target_and_impact_score(spark, bars):
 def test_missing_bar_columns_raise(bars):
     with pytest.raises(ValueError, match="volume"):
         feature_frame(bars.drop("volume"))
+
+
+def test_sentiment_of_large_scores_nulls_and_repeated_bars(spark, bars, bars_pdf, news_pdf):
+    """Deviations of a thousandth around a million; some articles without a score; every bar twice."""
+    news_pdf = news_pdf.copy()
+    news_pdf["sentiment"] = 1e6 + (np.arange(len(news_pdf)) % 7) * 1e-3
+    news_pdf.loc[news_pdf.index % 4 == 0, "sentiment"] = np.nan
+    news_pdf.loc[news_pdf.ticker == "BBB", "sentiment"] = np.nan
+    rows = [(r.published_at.to_pydatetime(), r.ticker, None if np.isnan(r.sentiment) else float(r.sentiment)) for r in news_pdf.itertuples()]
+    got = by_key(sentiment_window(bars.unionByName(bars), spark.createDataFrame(rows, schemas.NEWS)))
+    assert len(got) == len(bars_pdf)
+    for r in got.itertuples():
+        s = news_pdf[(news_pdf.ticker == r.ticker) & (news_pdf.published_at >= r.timestamp - pd.Timedelta("24h")) & (news_pdf.published_at < r.timestamp)].sentiment
+        assert r.sentiment_count == len(s)
+        if len(s):
+            np.testing.assert_allclose([r.sentiment_mean, r.sentiment_max, r.sentiment_min], [s.mean(), s.max(), s.min()])
+            np.testing.assert_allclose(r.sentiment_std, (s - 1e6).std(), rtol=1e-5, atol=1e-9)
+        else:
+            assert r.sentiment_mean == r.sentiment_std == 0
