@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.operators.fill import fill_series
@@ -17,18 +17,16 @@ def asof_backward(
     right_ts: str,
     values: list[str],
     tie_break: list[str] | None = None,
-    slice_days: int = 30,
-    salts: int = 1,
+    slice_days: int = 7,
 ) -> DataFrame:
     """Add to each left row the ``values`` of the last right row of its ticker not after it.
 
     The whole right row is carried, so a NULL value in it stays NULL. Of right rows with the same
     time the highest by ``tie_break`` counts.
 
-    Both sides are cut into time slices and read in order inside each one. A slice also gets one
-    extra right row, the last one before it, found on a table with a row per (ticker, slice).
-    ``salts`` splits each slice further when the left side is dense; the right side is then copied
-    that many times, so use it where the right side is thin.
+    Both sides are cut into time slices and read in order inside each one, so a ticker spreads over as many tasks
+    as it has slices and no row is copied. A slice also gets one extra right row, the last one before it, carried
+    over on a table with a row per (ticker, slice). For many left rows of one time see :func:`asof_by_time`.
     """
     width = slice_days * DAY_US
     payload = F.struct(*values)
@@ -55,28 +53,30 @@ def asof_backward(
         .select("ticker", (F.col("_sl") * width - 1).alias("_at"), "_sl", "_v")
     )
 
-    def salt(c: Column) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(salts)).cast("int")
-
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0)
-    known = keyed.unionByName(opening).select(
-        "ticker", "_at", "_sl", "_v", copies.alias("_salt"), F.lit(0).alias("_side")
-    )
-    spread = salt(F.struct(*left.columns)) if salts > 1 else F.lit(0)
-    lane = probes.withColumns({"_salt": spread, "_side": F.lit(1)}).unionByName(
-        known, allowMissingColumns=True
-    )
-    so_far = (
-        Window.partitionBy("ticker", "_sl", "_salt")
-        .orderBy("_at", "_side")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    known = keyed.unionByName(opening).select("ticker", "_at", "_sl", "_v", F.lit(0).alias("_side"))
+    lane = probes.withColumn("_side", F.lit(1)).unionByName(known, allowMissingColumns=True)
+    so_far = Window.partitionBy("ticker", "_sl").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
     found = lane.withColumn("_v", F.last("_v", ignorenulls=True).over(so_far))
     return found.where(F.col("_side") == 1).select(
         *left.columns, *(F.col(f"_v.{c}").alias(c) for c in values)
     )
 
 
+def asof_by_time(
+    left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, values: list[str], tie_break: list[str] | None = None
+) -> DataFrame:
+    """As :func:`asof_backward` where many left rows share a time: each (ticker, time) is looked up once.
+
+    Times are made distinct before the shuffle, and the answers are joined back on both keys, by broadcast where
+    Spark finds them small; otherwise adaptive execution splits a time that holds much of the data.
+    """
+    times = left.select("ticker", left_ts).distinct()
+    found = asof_backward(times, right, left_ts, right_ts, values, tie_break)
+    found = found.select(F.col("ticker").alias("_ticker"), F.col(left_ts).alias("_time"), *values)
+    joined = left.join(found, F.col("ticker").eqNullSafe(F.col("_ticker")) & F.col(left_ts).eqNullSafe(F.col("_time")), "left")
+    return joined.select(*left.columns, *values)
+
+
 def align_fundamentals(
     bars: DataFrame,
     fundamentals: DataFrame,
@@ -88,20 +88,17 @@ def align_fundamentals(
     if availability_lag_days:
         lag = F.make_dt_interval(days=F.lit(availability_lag_days))
         fundamentals = fundamentals.withColumn("report_date", F.col("report_date") + lag)
-    return asof_backward(
-        bars, fundamentals, "timestamp", "report_date", values, slice_days=90
-    )
+    return asof_backward(bars, fundamentals, "timestamp", "report_date", values)
 
 
-def price_on_news(news: DataFrame, bars: DataFrame, salts: int = 16) -> DataFrame:
+def price_on_news(news: DataFrame, bars: DataFrame) -> DataFrame:
     """Close of the last trading day up to each article's day, as ``price_date`` and ``close``."""
     days = news.withColumn("price_date", F.date_trunc("day", "published_at"))
     closes = bars.select(
         "ticker", F.date_trunc("day", "timestamp").alias("_day"), "timestamp", "close"
     )
-    return asof_backward(
-        days, closes, "price_date", "_day", ["close"], tie_break=["timestamp"], salts=salts
-    ).withColumnRenamed("close", "close_on_price_date")
+    found = asof_by_time(days, closes, "price_date", "_day", ["close"], tie_break=["timestamp"])
+    return found.withColumnRenamed("close", "close_on_price_date")
 
 
 def exact_price(bars: DataFrame, prices: DataFrame) -> DataFrame:

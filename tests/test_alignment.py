@@ -1,12 +1,14 @@
 """As-of joins, the sentiment window and the feature frame at their edges."""
 
+from functools import partial
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from candela import schemas
-from candela.operators.asof import align_fundamentals, align_latest_price, asof_backward
+from candela.operators.asof import align_fundamentals, align_latest_price, asof_backward, asof_by_time, price_on_news
 from candela.operators.sentiment import sentiment_window
 from candela.plans.feature_frame import decompose, feature_columns, feature_frame
 
@@ -77,14 +79,14 @@ def test_equal_articles_have_no_deviation(spark):
     assert sentiment_window(bars, news).first().sentiment_std == 0.0
 
 
-@pytest.mark.parametrize("salts", [1, 5])
-def test_asof_micro_case(spark, salts):
+@pytest.mark.parametrize("asof", [partial(asof_backward, slice_days=2), asof_by_time])
+def test_asof_micro_case(spark, asof):
     day = "timestamp'2024-01-01' + make_dt_interval({})"
     left = spark.sql(f"select 'X' as ticker, {day.format('i')} as timestamp from values 0, 1, 2, 3, 5, 400 t(i)")
     right = spark.sql(f"""select 'X' as ticker, {day.format('i')} as seen, v, k from values
         (1, 1d, 1), (1, 2d, 2), (4, cast(null as double), 3) t(i, v, k)
         union all select 'Y', {day.format('0')}, 99d, 4""")
-    got = by_key(asof_backward(left, right, "timestamp", "seen", ["v"], ["k"], slice_days=2, salts=salts))
+    got = by_key(asof(left, right, "timestamp", "seen", ["v"], ["k"]))
     np.testing.assert_array_equal(got.v, [np.nan, 2, 2, 2, np.nan, np.nan])
 
 
@@ -187,3 +189,16 @@ def test_sentiment_of_large_scores_nulls_and_repeated_bars(spark, bars, bars_pdf
             np.testing.assert_allclose(r.sentiment_std, (s - 1e6).std(), rtol=1e-5, atol=1e-9)
         else:
             assert r.sentiment_mean == r.sentiment_std == 0
+
+
+def test_price_on_a_day_of_most_news(spark, bars):
+    """Nine tenths of the articles fall on one day: it is looked up once and no bar is copied."""
+    news = spark.sql("""select id as uuid, 'AAA' as ticker, 0.5D as sentiment,
+        timestamp'2024-03-03 01:00:00' + make_dt_interval(if(id % 10 = 0, cast(id div 400 as int), 0)) as published_at from range(4000)""")
+    out = price_on_news(news, bars)
+    closes = bars.where("ticker = 'AAA'").toPandas().sort_values("timestamp")
+    days = closes.assign(day=closes.timestamp.dt.floor("D")).groupby("day").close.last()
+    got = out.toPandas()
+    assert len(got) == 4000
+    for day, price in zip(got.price_date, got.close_on_price_date, strict=True):
+        assert price == days[:day].iloc[-1]
