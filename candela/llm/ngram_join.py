@@ -31,7 +31,7 @@ PAIR_COST = 20.0
 MOST_MATCHES = 8
 #: Frequent shingles known by their counts: at most this many, each seen this often among so many
 #: shingles of one task. The counts only order shingles and weigh costs; no pair depends on them.
-FREQUENT, SEEN, COUNTED = 1 << 17, 2, 1 << 22
+FREQUENT, SEEN, COUNTED = 1 << 17, 2, 1 << 21
 #: Turns of the first pass, hubs of a group and tries of a document in a turn, and the part (one in so many) of
 #: a document's prefix that a hub must share. The second pass takes whatever the first leaves apart.
 HUB_TURNS, HUBS, EVIDENCE = 1, 2, 6
