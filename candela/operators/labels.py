@@ -173,12 +173,36 @@ def trade_labels(
     )
 
 
+def _cell_of_rank(rows: DataFrame, cell: str, rank: Column) -> DataFrame:
+    """One row: the cell that holds the row of ``rank``, and its rank there. Cells are counted and put in order, not rows."""
+    order = Window.partitionBy(F.lit(1)).orderBy("_cell")
+    counts = rows.groupBy(F.expr(cell).alias("_cell")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_upto", F.sum("_n").over(order))
+    inside = (rank - F.col("_upto") + F.col("_n")).alias("rank")
+    return counts.where(F.col("_upto") > rank).agg(F.min(F.struct(F.col("_cell").alias("cell"), inside)).alias("_found"))
+
+
+def pooled_cut(df: DataFrame, share: float) -> DataFrame:
+    """One row with ``_found.cell``, the (timestamp, ticker) of the row at ``int(n * share)`` over all tickers in time order.
+
+    Days, minutes of one day and bars of one minute are counted in turn; NULL if there is no such row.
+    """
+    keys = df.select("timestamp", "ticker")
+    rows = keys.agg(F.floor(F.count(F.lit(1)) * F.lit(share)).alias("rank"))
+    day = _cell_of_rank(keys, "date_trunc('day', timestamp)", rows.scalar())
+    found = day.scalar()
+    keys = keys.where(F.date_trunc("day", "timestamp") == found["cell"])
+    found = _cell_of_rank(keys, "date_trunc('minute', timestamp)", found["rank"]).scalar()
+    keys = keys.where(F.date_trunc("minute", "timestamp") == found["cell"])
+    return _cell_of_rank(keys, "struct(timestamp, ticker)", found["rank"])
+
+
 def time_split(
     df: DataFrame, validation: float = 0.2, pooled: bool = False, **layout: int
 ) -> DataFrame:
-    """Add ``is_validation``: the last share of each ticker's rows, or of the whole time span.
+    """Add ``is_validation``: the last share of each ticker's rows, or of the rows of all tickers in time order.
 
-    ``pooled`` cuts all tickers at one instant, so no training row is later than a validation row.
+    ``pooled`` cuts all tickers at one row, so no training row is later than a validation row; bars of one
+    time go by ticker.
     """
     if not pooled:
         cut = F.floor(F.col(TOTAL) * (1 - validation))
@@ -187,20 +211,8 @@ def time_split(
             .withColumn("is_validation", F.col(POS) >= cut)
             .drop(POS, TOTAL)
         )
-    days = df.groupBy(F.date_trunc("day", "timestamp").alias("_day")).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    everything = Window.partitionBy(F.lit(1))
-    cut_day = (
-        days.select(
-            "_day",
-            F.sum("_rows").over(everything.orderBy("_day")).alias("_seen"),
-            F.sum("_rows").over(everything).alias("_all"),
-        )
-        .where(F.col("_seen") > F.col("_all") * (1 - validation))
-        .agg(F.min("_day"))
-    )
-    return df.withColumn("is_validation", F.col("timestamp") >= cut_day.scalar())
+    cut = pooled_cut(df, 1 - validation).scalar()["cell"]
+    return df.withColumn("is_validation", F.coalesce(F.struct("timestamp", "ticker") >= cut, F.lit(False)))
 
 
 def latest_rows(df: DataFrame, ts: str = "timestamp") -> DataFrame:

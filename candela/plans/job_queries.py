@@ -10,10 +10,11 @@ from candela.learning.price import ENSEMBLE, PriceModel
 from candela.learning.trading import TradingModel
 from candela.operators import clean, nested
 from candela.operators.indicators import INDICATOR_COLUMNS, indicators
-from candela.operators.labels import latest_rows
+from candela.operators.labels import latest_rows, time_split
+from candela.operators.metrics import classification_report, confusion_matrix
 from candela.plans.catalog import query, rnd, rounded
-from candela.plans.feature_frame import feature_frame
-from candela.plans.series_queries import FRAME_SQL
+from candela.plans.feature_frame import feature_frame, valid_rows
+from candela.plans.series_queries import FRAME_SQL, LABEL_SQL
 from candela.session import materialize, new_path
 from candela.sources import files
 from candela.streaming import jobs, live, rolling
@@ -281,3 +282,64 @@ def trading_model_recommendation(t):
     return TradingModel.load(t.spark, path).recommend(frame, clean.latest_price(t.bars_h)).select(
         "*", F.col("timing.formatted").alias("holding")
     ).drop("timing")
+
+
+@query("price_model_rounds")
+def price_model_rounds(t):
+    """Validation error of each boosting round, and the rounds kept."""
+    model = PriceModel(["boosted", "boosted_deep"]).fit(_train_frame(t))
+    return model.rounds(t.spark)
+
+
+# The frame without its last bar per ticker, labelled and cut at one row of all tickers.
+_LABELLED_FRAME = f"""rows_f as (select * from rows_h qualify rn < count(*) over (partition by ticker)),
+{LABEL_SQL.replace("rows_h", "rows_f")},
+parts as (select *, row_number() over (order by timestamp, ticker) > floor(count(*) over () * (1 - 0.2e0)) as held from labelled)"""
+
+
+@query(
+    "price_model_parts",
+    f"""with {_LABELLED_FRAME}
+select case when held then 'validation' else 'train' end as part, count(*) as rows, min(timestamp) as first_bar, max(timestamp) as last_bar
+from parts group by 1""",
+)
+def price_model_parts(t):
+    """Rows that the price model learns from and is judged on."""
+    data = time_split(valid_rows(_train_frame(t)), pooled=True)
+    part = F.when(F.col("is_validation"), "validation").otherwise("train").alias("part")
+    return data.groupBy(part).agg(F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first_bar"), F.max("timestamp").alias("last_bar"))
+
+
+@query(
+    "trading_model_heads",
+    f"""with {_LABELLED_FRAME}
+select 'signal' as head, count(*) filter (signal <> 1) as rows from parts where not held
+union all select 'position_size', count(*) filter (position_size > 0) from parts where not held
+union all select 'timing_minutes', count(*) filter (timing_minutes > 0) from parts where not held
+union all select 'profit', count(*) filter (profit <> 0) from parts where not held""",
+)
+def trading_model_heads(t):
+    """Rows that each head of a fitted model has learned from, as saved and loaded."""
+    model = TradingModel(signal_family="boosted").fit(_train_frame(t))
+    path = new_path(t.spark, "trading-model")
+    model.save(path)
+    return t.spark.createDataFrame(list(TradingModel.load(t.spark, path).rows.items()), "head string, rows long")
+
+
+@query(
+    "trading_model_confusion",
+    f"""with {_LABELLED_FRAME}, l as (select unnest([0, 1, 2]) as label)
+select cast(label as int) as label, count(signal) as rows from l left join parts on signal = label group by 1""",
+)
+def trading_model_confusion(t):
+    """Confusion matrix of a boosted signal head; its rows sum to the labels' counts, and nothing is predicted HOLD."""
+    frame = _train_frame(t)
+    matrix = confusion_matrix(TradingModel(signal_family="boosted").fit(frame).scored(frame))
+    return matrix.where("pred_1 = 0").select("label", (F.col("pred_0") + F.col("pred_1") + F.col("pred_2")).alias("rows"))
+
+
+@query("trading_model_report")
+def trading_model_report(t):
+    """Precision, recall and f1 per label of a fitted model that also learns HOLD."""
+    frame = _train_frame(t)
+    return classification_report(TradingModel(include_hold=True, signal_family="boosted").fit(frame).scored(frame))

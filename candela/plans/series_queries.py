@@ -290,6 +290,15 @@ def split(t):
     return time_split(t.bars_h, 0.2).select(*KEYS, "is_validation")
 
 
+@query(
+    "time_split_pooled",
+    """select ticker, timestamp, row_number() over (order by timestamp, ticker) > floor(count(*) over () * (1 - 0.2e0)) as is_validation
+from bars_d""",
+)
+def split_pooled(t):
+    return time_split(t.bars_d, 0.2, pooled=True).select(*KEYS, "is_validation")
+
+
 SENTIMENT_SQL = """sent as (select b.ticker, b.timestamp, count(n.published_at) as sentiment_count,
   case when count(n.published_at) = 0 then 0 else avg(n.sentiment) end as sentiment_mean,
   case when count(n.published_at) = 0 then 0 else stddev_samp(n.sentiment) end as sentiment_std,

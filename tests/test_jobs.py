@@ -96,3 +96,51 @@ def test_registry_is_consistent():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) > 80
+
+
+def test_rounds_kept():
+    from candela.learning.price import best_round
+
+    assert best_round([5, 4, 3, 3.5, 3.4]) == 3
+    assert best_round([5, 4, *[4.5] * 10, 4.2]) == 2
+    assert best_round([5, 4, *[4.5] * 12, 3]) == 15  # the whole ensemble is better than the best before the pause
+    assert best_round([1.0]) == 1
+
+
+def test_early_stopping_cuts_the_ensemble(spark, bars, frame, tmp_path):
+    """Noise as target: boosting fits it ever better on the training rows and ever worse on the others."""
+    noisy = frame.withColumn("target", F.pmod(F.xxhash64("ticker", "timestamp"), F.lit(1000)) / 1000.0)
+    few = {"maxIter": 30, "maxDepth": 5, "stepSize": 0.5}
+    model = PriceModel("boosted", {"boosted": few}).fit(noisy)
+    rounds = model.rounds(spark).orderBy("round").collect()
+    kept = [r for r in rounds if r.kept]
+    assert len(rounds) == 30 and 0 < len(kept) < 30 and len(model.model.stages[1].trees) == len(kept)
+    assert kept[-1].validation_error <= rounds[-1].validation_error
+    parts = {r.part: r.mse for r in model.evaluate(noisy).collect()}
+    np.testing.assert_allclose(parts["validation"], kept[-1].validation_error, rtol=1e-9)
+    model.save(str(tmp_path / "r"))
+    assert PriceModel.load(spark, str(tmp_path / "r")).errors == model.errors
+    total = sum(r.importance for r in model.importance(spark, 1000).collect())
+    np.testing.assert_allclose(total, 1)
+
+
+@pytest.mark.parametrize("include_hold", [False, True])
+def test_boosted_signal_head(spark, frame, tmp_path, include_hold):
+    from candela.operators.metrics import confusion_matrix
+
+    few = {"maxIter": 3, "maxDepth": 3}
+    model = TradingModel(min_profit=0.004, max_holding=30, include_hold=include_hold, signal_family="boosted", signal_params=few, head_params=few).fit(frame)
+    assert model.labels == ([0, 1, 2] if include_hold else [0, 2])
+    predicted = model.predict(frame).toPandas()
+    assert predicted.signal_confidence.between(1 / 3 - 1e-9, 1).all()
+    assert set(predicted.signal) <= ({"BUY", "SELL", "HOLD"} if include_hold else {"BUY", "SELL"})
+    scored = model.scored(frame)
+    matrix = {r.label: r.pred_0 + r.pred_1 + r.pred_2 for r in confusion_matrix(scored).collect()}
+    labels = {r.signal: r["count"] for r in scored.groupBy("signal").count().collect()}
+    assert {k: n for k, n in matrix.items() if n} == labels
+    assert sum(model.rows.values()) > 0 and model.rows["signal"] <= scored.where("not is_validation").count()
+    model.save(str(tmp_path / "b"))
+    again = TradingModel.load(spark, str(tmp_path / "b"))
+    assert (again.labels, again.rows, again.signal_family) == (model.labels, model.rows, "boosted")
+    one, two = (sorted(map(str, m.predict(frame).select("ticker", "timestamp", "signal", "signal_confidence").collect())) for m in (model, again))
+    assert one == two
