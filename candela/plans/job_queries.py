@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela import schemas
+from candela.functions.calendar_features import TIME_COLUMNS
+from candela.functions.scoring import add_scores
 from candela.learning.price import ENSEMBLE, PriceModel
 from candela.learning.trading import TradingModel
 from candela.operators import clean, nested
@@ -13,8 +15,10 @@ from candela.operators.indicators import INDICATOR_COLUMNS, indicators
 from candela.operators.labels import latest_rows, time_split
 from candela.operators.metrics import classification_report, confusion_matrix
 from candela.plans.catalog import query, rnd, rounded
-from candela.plans.feature_frame import feature_frame, valid_rows
-from candela.plans.series_queries import FRAME_SQL, LABEL_SQL
+from candela.plans.feature_frame import feature_columns, feature_frame, valid_rows
+from candela.plans.series_queries import FRAME_SQL, LABEL_SQL, SENTIMENT_COLUMNS, filled
+from candela.plans.table_queries import IMPACT_SQL
+from candela.schemas import OHLCV, STATEMENT_VALUES
 from candela.session import materialize, new_path
 from candela.sources import files
 from candela.streaming import jobs, live, rolling
@@ -62,6 +66,42 @@ def json_round_trip(t):
     return t.spark.read.schema(t.news_h.schema).json(path)
 
 
+@query(
+    "ticker_files",
+    f"""select uuid, ticker, published_at, {rounded("sentiment")} from news_d where ticker in ('1-URGENT', '5-LOW')""",
+)
+def ticker_files(t):
+    """One export a ticker, each with some rows of others; one ticker asked for has no file."""
+    folder = new_path(t.spark, "tickers")
+    asked = ["1-urgent ", "5-LOW", "NONE"]
+    blank = [c for c in schemas.NEWS_TEXT_COLUMNS if c not in ("uuid", "published_at", "ticker", "sentiment_score")]
+    stamp = F.date_format("published_at", "yyyy-MM-dd HH:mm:ss+00:00").alias("published_at")
+    export = t.news_d.select("uuid", stamp, "ticker", F.col("sentiment").alias("sentiment_score"), *(F.lit(None).cast("string").alias(c) for c in blank))
+    for ticker, other in (("1-URGENT", "2-HIGH"), ("5-LOW", "1-URGENT")):
+        files.write_csv(export.where(F.col("ticker").isin(ticker, other)).select(*schemas.NEWS_TEXT_COLUMNS), f"{folder}/{ticker}_all_dates_data.csv")
+    parts = [files.read_ticker_news(t.spark, folder, ticker) for ticker in asked]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.select(
+        F.col("uuid").cast("bigint").alias("uuid"), "ticker", F.to_timestamp("published_at").alias("published_at"), F.col("sentiment_score").cast("double").alias("sentiment")
+    )
+
+
+@query(
+    "news_json_files",
+    f"""select cast(uuid as varchar) as uuid, ticker, published_at, {rnd("coalesce(score, 0)", "sentiment")} from articles where named
+union all select cast(uuid as varchar), 'ZZZ', published_at, -9.0 from articles where uuid % 2 = 0""",
+)
+def news_json_files(t):
+    """Landed responses, one document a line; a second landing holds one document a file."""
+    lines, whole = new_path(t.spark, "pages"), new_path(t.spark, "documents")
+    few = F.pmod(F.xxhash64("json"), F.lit(40)) == 0
+    t.news_pages.where(~few).select("json").write.text(lines)
+    documents = t.news_pages.where(few).select("json", F.xxhash64("json").alias("part"))
+    documents.write.option("maxRecordsPerFile", 1).partitionBy("part").text(whole)
+    both = files.read_news_json(t.spark, lines, lines=True).unionByName(files.read_news_json(t.spark, f"{whole}/*"))
+    return nested.explode_entities(both).drop("seq")
+
+
 @query(
     "append_by_month",
     """select ticker, strftime(published_at, '%Y-%m') as month, count(*) as articles
@@ -234,6 +274,43 @@ def stream_scores(t):
     return jobs.latest_updates(t.spark.read.parquet(out), ["ticker"])
 
 
+# The frame with scored reports
+
+
+_FEATURES = [*OHLCV, *INDICATOR_COLUMNS, *SENTIMENT_COLUMNS, "latest_price", *STATEMENT_VALUES, "stock_impact_score", *TIME_COLUMNS]
+
+
+@query(
+    "feature_names",
+    f"""select unnest([{", ".join(repr(c) for c in _FEATURES)}]) as feature""",
+)
+def feature_names(t):
+    """The 54 columns that a model learns from, with scored reports."""
+    scored = add_scores(t.fund_growth).select("ticker", "report_date", *STATEMENT_VALUES, "stock_impact_score")
+    frame = feature_frame(t.stored(t.bars_d, "bars"), t.news_d, t.prices_d, scored)
+    return t.spark.createDataFrame([(c,) for c in feature_columns(frame)], "feature string")
+
+
+@query(
+    "feature_frame_scored",
+    f"""with {IMPACT_SQL},
+b as (select *, lead(close) over (partition by ticker order by timestamp) as target from bars_d),
+w as (select b.ticker, b.timestamp, b.target, {", ".join(f"f.{c}" for c in STATEMENT_VALUES)}, i.stock_impact_score
+  from b asof left join fund_d f on b.ticker = f.ticker and b.timestamp >= f.report_date
+  left join impact i on i.ticker = f.ticker and i.report_date = f.report_date),
+filled as (select ticker, timestamp, target, {", ".join(f"{filled(c)} as {c}" for c in (*STATEMENT_VALUES, "stock_impact_score"))} from w where target is not null
+  window before as (partition by ticker order by timestamp rows between unbounded preceding and current row),
+  after as (partition by ticker order by timestamp rows between current row and unbounded following))
+select ticker, timestamp, {rounded(*STATEMENT_VALUES, "stock_impact_score", "target")} from filled""",
+)
+def feature_frame_scored(t):
+    """The frame with the health scores of the reports: 57 columns."""
+    scored = add_scores(t.fund_growth).select("ticker", "report_date", *STATEMENT_VALUES, "stock_impact_score")
+    frame = feature_frame(t.stored(t.bars_d, "bars"), t.news_d, t.prices_d, scored)
+    assert len(frame.columns) == 57
+    return frame.select("ticker", "timestamp", *STATEMENT_VALUES, "stock_impact_score", "target")
+
+
 # Models
 
 
@@ -320,7 +397,7 @@ union all select 'profit', count(*) filter (profit <> 0) from parts where not he
 )
 def trading_model_heads(t):
     """Rows that each head of a fitted model has learned from, as saved and loaded."""
-    model = TradingModel(signal_family="boosted").fit(_train_frame(t))
+    model = TradingModel().fit(_train_frame(t))
     path = new_path(t.spark, "trading-model")
     model.save(path)
     return t.spark.createDataFrame(list(TradingModel.load(t.spark, path).rows.items()), "head string, rows long")
@@ -342,4 +419,4 @@ def trading_model_confusion(t):
 def trading_model_report(t):
     """Precision, recall and f1 per label of a fitted model that also learns HOLD."""
     frame = _train_frame(t)
-    return classification_report(TradingModel(include_hold=True, signal_family="boosted").fit(frame).scored(frame))
+    return classification_report(TradingModel(include_hold=True).fit(frame).scored(frame))

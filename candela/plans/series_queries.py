@@ -389,7 +389,7 @@ _TIME_NAMES = """year, month, day, day_of_week, day_of_year, week_of_year, quart
   day_of_week_sin, day_of_week_cos, is_weekend"""
 
 
-def _filled(c: str) -> str:
+def filled(c: str) -> str:
     return f"coalesce(last_value({c} ignore nulls) over before, first_value({c} ignore nulls) over after, 0)"
 
 
@@ -412,7 +412,7 @@ wide as (select rolls.*, volume/nullif(volume_sma, 0) as volume_ratio, ema_12, e
   from rolls join mac using (ticker, rn) join sig using (ticker, rn) join rsi using (ticker, timestamp)
   join bands using (ticker, timestamp) join sent using (ticker, timestamp)
   left join prices_h using (ticker, timestamp) join reports using (ticker, timestamp)),
-frame as (select ticker, timestamp, {", ".join(f"{_filled(c)} as {c}" for c in _DOUBLES)}, sentiment_count, target
+frame as (select ticker, timestamp, {", ".join(f"{filled(c)} as {c}" for c in _DOUBLES)}, sentiment_count, target
 from wide where {{rows}}
 window before as (partition by ticker order by timestamp rows between unbounded preceding and current row),
   after as (partition by ticker order by timestamp rows between current row and unbounded following))"""
@@ -463,6 +463,63 @@ def valid(t):
     return valid_rows(lead_target(series, drop_missing=False)).select(*KEYS, "sma_50", "target")
 
 
+def _causal(c: str) -> str:
+    return f"coalesce(last_value({c} ignore nulls) over before, 0)"
+
+
+@query(
+    "feature_frame_causal",
+    f"""with {FRAME_SQL.format(rows="target is not null")},
+causal as (select ticker, timestamp, {", ".join(f"{_causal(c)} as {c}" for c in _DOUBLES)} from wide where target is not null
+  window before as (partition by ticker order by timestamp rows between unbounded preceding and current row))
+select ticker, timestamp, {rounded(*_DOUBLES)} from causal""",
+)
+def feature_frame_causal(t):
+    """No bar is filled from a later one."""
+    return _frame(t, fill="causal").select(*KEYS, *_DOUBLES)
+
+
+@query(
+    "asof_fundamentals_lagged",
+    f"""select b.ticker, b.timestamp, {rounded(*STATEMENT_VALUES, prefix="f.")}
+from bars_d b asof left join (select * replace (report_date + interval 45 day as report_date) from fund_d) f
+  on b.ticker = f.ticker and b.timestamp >= f.report_date""",
+)
+def asof_fundamentals_lagged(t):
+    """Reports are seen 45 days after their date."""
+    return align_fundamentals(t.bars_d.select(*KEYS), t.fund_d, availability_lag_days=45)
+
+
+@query("decompose_bars", f"""select timestamp, ticker, {rounded(*OHLCV)} from (select *, lead(close) over (partition by ticker order by timestamp) as target
+  from bars_h) where target is not null""")
+def decompose_bars(t):
+    return decompose(_frame(t))["bars"]
+
+
+@query(
+    "decompose_news",
+    f"""with {SENTIMENT_SQL.format(bars="bars_h", news="news_h")}
+select s.timestamp as published_at, ticker, {rounded("sentiment_mean")} from sent s
+join (select ticker, timestamp, lead(close) over (partition by ticker order by timestamp) as target from bars_h) b using (ticker, timestamp)
+where target is not null""",
+)
+def decompose_news(t):
+    return decompose(_frame(t))["news"].withColumnRenamed("sentiment", "sentiment_mean")
+
+
+@query(
+    "decompose_fundamentals",
+    f"""with b as (select *, lead(close) over (partition by ticker order by timestamp) as target from bars_h),
+w as (select b.ticker, b.timestamp, {", ".join(f"f.{c}" for c in STATEMENT_VALUES)}
+  from b asof left join fund_h f on b.ticker = f.ticker and b.timestamp >= f.report_date where target is not null)
+select timestamp as report_date, ticker, {", ".join(f"round({filled(c)}, 6) + 0.0 as {c}" for c in STATEMENT_VALUES)} from w
+  window before as (partition by ticker order by timestamp rows between unbounded preceding and current row),
+  after as (partition by ticker order by timestamp rows between current row and unbounded following)""",
+)
+def decompose_fundamentals(t):
+    return decompose(_frame(t))["fundamentals"]
+
+
 @query(
     "decompose_prices",
     """select ticker, timestamp, close as price from (select *, lead(close) over (partition by ticker order by

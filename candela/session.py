@@ -16,6 +16,8 @@ _RUNTIME = {
     # A filled frame has dozens of computed columns; deriving filters from all their combinations
     # takes the optimizer minutes. Filters the jobs need are written out.
     "spark.sql.constraintPropagation.enabled": "false",
+    # First rows of a group are cut off before the shuffle for caps of any size in use.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
     # A block and its history fit in memory, so windows need not go through the spilling buffer.
     "spark.sql.windowExec.buffer.in.memory.threshold": "32768",
 }

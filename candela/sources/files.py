@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,12 +16,14 @@ from candela.operators.nested import explode_articles
 _CSV = {"header": "true", "multiLine": "true", "escape": '"', "mode": "PERMISSIVE"}
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    matches = fs.globStatus(target)
-    return matches is not None and len(matches) > 0
+def _if_present(read: Callable[[], DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """What ``read`` opens, or an empty typed frame where the path is absent."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return schemas.empty(spark, schema)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
@@ -35,9 +40,7 @@ def read_news_csv(spark: SparkSession, path: str, multi_line: bool = True) -> Da
 def read_ticker_news(spark: SparkSession, folder: str, ticker: str) -> DataFrame:
     """One ticker's export ``{TICKER}_all_dates_data.csv``; an absent file gives an empty frame."""
     path = f"{folder}/{ticker.strip().upper()}_all_dates_data.csv"
-    if not _path_exists(spark, path):
-        return schemas.empty(spark, schemas.NEWS_TEXT)
-    return only_ticker(read_news_csv(spark, path), ticker)
+    return only_ticker(_if_present(lambda: read_news_csv(spark, path), spark, schemas.NEWS_TEXT), ticker)
 
 
 def read_combined_csv(
@@ -72,9 +75,7 @@ def read_news_json(
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet with a given schema; an absent path gives an empty typed frame."""
-    if not _path_exists(spark, path):
-        return schemas.empty(spark, schema)
-    return spark.read.schema(schema).parquet(path)
+    return _if_present(lambda: spark.read.schema(schema).parquet(path), spark, schema)
 
 
 # The default text format of timestamps drops microseconds.

@@ -282,3 +282,15 @@ def test_overlay(spark, bars, bars_pdf):
     last = got[got.ticker == "AAA"].iloc[-1]
     assert (last.close, last.high) == (1000.0, 1000.0) and last.low < 1000
     assert (got.close != bars_pdf.sort_values(["ticker", "timestamp"]).close.to_numpy()).sum() == 1
+
+
+def test_large_caps_trim_before_the_shuffle(spark):
+    df = spark.range(50_000).selectExpr("id as uuid", "concat('T', id % 2) as ticker", "timestamp_seconds(1700000000 + id % 1000) as published_at")
+    out = nested.cap_batches(df, dt.date(2023, 1, 1), cap=5000, days=4000)
+    plan = out._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and out.groupBy("ticker").count().collect()[0]["count"] == 5000
+
+
+def test_absent_files_are_empty(spark, tmp_path):
+    assert files.read_ticker_news(spark, str(tmp_path), "nope").count() == 0
+    assert files.read_table(spark, f"{tmp_path}/nope", schemas.BARS).schema == schemas.BARS
