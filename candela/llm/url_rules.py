@@ -4,6 +4,9 @@ Urls that a given rule judges are the labelled ones. FP-growth mines combination
 go with a verdict; rules with too little confidence or support, and rules that a shorter one already
 makes as surely, are dropped. The rest judge the other urls, found by an inverted index from tokens
 to rules. A url's tokens are cut to those that rules use, so equal token sets are matched once.
+
+Tokens that stand in the very same labelled urls are one item to the miner, as it would list every combination of
+them; any of them stands for the item when urls are judged, as each alone would make a rule just as sure.
 """
 
 from __future__ import annotations
@@ -50,14 +53,26 @@ def url_tokens() -> Column:
     return F.array_distinct(F.filter(marked, lambda x: ~F.endswith(x, F.lit("="))))
 
 
-def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataFrame:
-    """(rule_id, tokens, verdict, confidence, support) mined from rows (tokens, verdict)."""
+def _items(tokens: str, item_of: dict[str, str]) -> Column:
+    """The distinct items of a row's tokens; tokens without one are left out."""
+    if not item_of:
+        return F.array().cast("array<string>")
+    known = F.map_from_arrays(F.lit(list(item_of)), F.lit(list(item_of.values())))
+    return F.array_distinct(F.transform(F.array_intersect(tokens, F.lit(list(item_of))), lambda x: known[x]))
+
+
+def mined_rules(labelled: DataFrame, support: float, confidence: float) -> tuple[DataFrame, dict[str, str]]:
+    """(rule_id, tokens, verdict, confidence, support) mined from rows (tokens, verdict), and the item of each token in use."""
     n = labelled.count()
     support = min(1.0, max(support, LEAST / n))
-    counts = labelled.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    rows = labelled.select("tokens", F.xxhash64(F.monotonically_increasing_id()).alias("row"))
+    held = (F.count("*").alias("n"), F.bit_xor("row").alias("x"), F.sum(F.col("row") % (1 << 40)).alias("y"))
+    counts = rows.select("row", F.explode("tokens").alias("token")).groupBy("token").agg(*held)
     # A token in every url tells nothing; rare ones are in no rule. Fewer are left than a url's tokens / support.
-    used = [r.token for r in counts.where((F.col("n") < n) & (F.col("n") >= support * n)).orderBy("token").collect()]
-    cut = F.array_intersect("tokens", F.lit(used) if used else F.array().cast("array<string>"))
+    used = counts.where((F.col("n") < n) & (F.col("n") >= support * n)).orderBy("token").collect()
+    first: dict[tuple, str] = {}
+    item_of = {r.token: first.setdefault((r.n, r.x, r.y), r.token) for r in used}
+    cut = _items("tokens", item_of)
     baskets = labelled.select(F.concat(cut, F.array(F.concat(F.lit("verdict="), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     found = (
@@ -71,7 +86,7 @@ def mined_rules(labelled: DataFrame, support: float, confidence: float) -> DataF
     shorter = parts.toDF("short_id", "verdict", "short_confidence", "short_size", "token")
     matched = parts.join(shorter, ["token", "verdict"]).where("short_size < size and short_confidence >= confidence")
     needless = matched.groupBy("rule_id", "short_id").agg(F.count("*").alias("n"), F.first("short_size").alias("size")).where("n = size")
-    return found.join(needless.select("rule_id").distinct(), "rule_id", "left_anti")
+    return found.join(needless.select("rule_id").distinct(), "rule_id", "left_anti"), item_of
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
@@ -89,11 +104,12 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], support: float =
     labelled = rows.where("verdict is not null and size(tokens) > 0")
     if not labelled.head(1):
         return rows.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(DEFAULT)).alias("verdict"))
-    mined = materialize(mined_rules(labelled, support, confidence), "url-rules")
+    mined, item_of = mined_rules(labelled, support, confidence)
+    mined = materialize(mined, "url-rules")
     index = mined.select("rule_id", "verdict", "confidence", "support", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
     # Frequent tokens only: fewer than the tokens of a url divided by the support.
-    used = sorted(r.token for r in index.select("token").distinct().collect())
-    cut = F.array_intersect("tokens", F.lit(used) if used else F.array().cast("array<string>"))
+    used = {r.token for r in index.select("token").distinct().collect()}
+    cut = _items("tokens", {token: item for token, item in item_of.items() if item in used})
     open_rows = rows.select("page_id", "host", "path", "rule", "verdict", F.concat_ws("\n", F.array_sort(cut)).alias("signature"))
     kinds = open_rows.where("verdict is null and signature <> ''").select("signature").distinct()
     best = (
