@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.llm.labelled import remainder
-from candela.llm.words import blocks
+from candela.llm.words import blocks, small_batches
 
 HIDDEN = 8
 #: Documents learned from, at most, of each language. All languages are learned.
@@ -235,12 +235,15 @@ def languages(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     if no language can be learned. Rows without an id are not learned from and count as the id 'null'. Repeated rows
     get equal results; other columns are ignored, whatever their names.
     """
-    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    spark, kind = small_batches(docs.sparkSession), docs.schema["doc_id"].dataType.simpleString()
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") > 0) & (remainder("doc_id", 4) != 2))
     names = [r.lang for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= most).select("doc_id").distinct()
-    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id") if names else None  # languages * most rows
+    # Ids beyond ``most`` are cut off in each task; a repeated id counts once.
+    chosen = usable.select("doc_id", "lang").withColumn("rank", F.dense_rank().over(by_hash)).where(F.col("rank") <= most).select("doc_id", "lang").distinct()
+    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])  # languages * most rows
+    # Of rows that share an id and a language the one with the smallest text hash is learned.
+    rows = rows.groupBy("doc_id", "lang").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     net = None
     if names:
         count, place = max(LEAST_DRAWN, DRAWN // len(names)), {name: i for i, name in enumerate(names)}
@@ -250,7 +253,7 @@ def languages(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
                 parts = [spread(t.encode(), count) for t in batch.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(parts, pa.binary())], names=["doc_id", "lang", "part"])
 
-        known = rows.mapInArrow(drawn, f"doc_id {kind}, lang string, part binary").toArrow().sort_by("doc_id").to_pylist()
+        known = rows.mapInArrow(drawn, f"doc_id {kind}, lang string, part binary").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending")]).to_pylist()
         net = train([r["part"] for r in known], np.array([place[r["lang"]] for r in known]), len(names), STEPS * -(-len(names) // SERVED), count=count)
     shared = spark.sparkContext.broadcast((names, net))
 

@@ -505,3 +505,53 @@ def test_judged_urls_that_repeat_tie_or_lack(spark):
     assert len(got) == len(urls) and sum(r.page_id is None for r in got) == 2
     # "same" stands for both verdicts equally often: no rule is sure, so the default holds.
     assert {r.verdict for r in got if r.page_id is None or r.page_id >= 200} == {"allow"}
+
+
+def test_languages_of_repeated_empty_and_long_rows(spark):
+    """One id in most rows is learned once; an empty table, other columns and a very long text do no harm."""
+    schema = "doc_id long, text string, lang string, rank int, part string, label int"
+    assert language.languages(spark.createDataFrame([], schema)).collect() == []
+    rng = np.random.default_rng(2)
+    words = {"aa": ["ba", "bab", "abba", "baab"], "oo": ["xo", "oxo", "xoox", "ooxx"]}
+    say = lambda lang, n: " ".join(rng.choice(words[lang], n))
+    rows = [(i, say("aa" if i % 2 else "oo", 30), "aa" if i % 2 else "oo") for i in range(120)]
+    rows += [(1, say("aa", 30), "aa")] * 400 + [(5000, say("oo", 60_000), "oo"), (5001, None, "aa"), (5002, "12 34", "oo")]
+    got = language.languages(spark.createDataFrame([(i, t, k, 1, "p", 2) for i, t, k in rows], schema), most=40).collect()
+    assert len(got) == len(rows)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in got}
+    assert found[5000][0] == "oo" and found[5001] == found[5002] == ("und", 0.0)
+    assert sum(found[i][0] == ("aa" if i % 2 else "oo") for i in range(120)) >= 115
+
+
+def plain_votes(likeness, labels, k):
+    """Mean label of the k likeliest, weighted; the mean of all where nothing is known."""
+    order = sorted(range(len(labels)), key=lambda i: -likeness[i])[:k]
+    weight = [max(likeness[i], 0) + 1e-9 for i in order]
+    return sum(w * labels[i] for w, i in zip(weight, order, strict=True)) / sum(weight)
+
+
+def test_votes_are_those_of_a_plain_neighbour_search():
+    from candela.llm import quality as q
+
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    known, asked = (unit(rng.normal(0, 1, (n, 12))).astype(np.float32) for n in (90, 25))
+    labels = rng.integers(0, 2, 90).astype(float)
+    got = q.votes(asked, known, labels, q.NEIGHBOURS)
+    want = [plain_votes((known @ v).tolist(), labels, q.NEIGHBOURS) for v in asked]
+    np.testing.assert_allclose(got, want, rtol=1e-4)
+
+
+@pytest.mark.parametrize("score", [toxicity, quality])
+def test_classifiers_of_long_and_repeated_rows(spark, score):
+    rng = np.random.default_rng(7)
+    good, bad = (lambda n: " ".join(rng.choice(["calm", "garden", "river", "stone"], n))), (lambda n: " ".join(rng.choice(["awful", "garden", "nasty", "stone"], n)))
+    rows = [(i, bad(20) if i % 3 == 0 else good(20)) for i in range(300)] + [(7, good(20))] * 500 + [(900, bad(80_000)), (901, None), (902, "")]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 3 == 0)) for i in range(300)] + [(7, 0, 0)] * 50, "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([(i, t, 1, "l", 0) for i, t in rows], "doc_id long, text string, label int, gram string, fold int")
+    got = score(docs, labels, most={1: 60, 0: 60}).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[900].predicted == 1 and len({r.score for r in got if r.doc_id in (901, 902)}) == 1
+    held = [r for r in got if r.held_out and r.doc_id < 300]
+    assert sum(r.predicted == (r.doc_id % 3 == 0) for r in held) >= 0.9 * len(held)
