@@ -28,45 +28,50 @@ def fill_within_blocks(
     return df.select(*needed).selectExpr(*filled).where(KEEP).select(*output)
 
 
-def fill_across_blocks(df: DataFrame, columns: list[str], mode: str) -> DataFrame:
+def fill_across_blocks(df: DataFrame, columns: list[str], mode: str, instead: tuple[str, str, DataFrame] | None = None) -> DataFrame:
     """Finish the fill from one row per block.
 
     The last row of a block already holds the block's last known values. The first known value of a
-    ticker is what a backward fill puts into every row before it. ``df`` is read three times, so it
-    should be a stored table.
+    ticker is what a backward fill puts into every row before it. Both are worked out on the table of blocks, so
+    the frame is joined once, on ticker and block. ``df`` is read twice and should be a stored table.
+
+    ``instead`` (column, other, tickers): for tickers that are not in the last, the column is the filled other one.
     """
     if mode not in MODES:
         raise ValueError(f"fill mode must be one of {MODES}")
     if mode == "none" or not columns:
         return df
-    before = f"partition by ticker order by {BLK} rows between unbounded preceding and 1 preceding"
-    ends = df.groupBy("ticker", BLK).agg(F.max("timestamp").alias("timestamp"))
-    carry = (
-        df.select("ticker", BLK, "timestamp", *columns)
-        .join(ends, ["ticker", BLK, "timestamp"], "left_semi")
-        .selectExpr(
-            "ticker",
-            BLK,
-            *(f"last_value({c}) ignore nulls over ({before}) as _l_{c}" for c in columns),
-        )
+    back = columns if mode == "reference" else []
+    ends = df.groupBy("ticker", BLK).agg(
+        F.max_by(F.struct(*columns), "timestamp").alias("_end"),
+        *(F.expr(f"min_by({c}, case when {c} is not null then timestamp end)").alias(f"_f_{c}") for c in back),
+    )
+    series = f"partition by ticker order by {BLK} rows between"
+    carry = ends.selectExpr(
+        "ticker",
+        BLK,
+        *(f"last_value(_end.{c}) ignore nulls over ({series} unbounded preceding and 1 preceding) as _l_{c}" for c in columns),
+        *(f"first_value(_f_{c}) ignore nulls over ({series} unbounded preceding and unbounded following) as _f_{c}" for c in back),
     )
-    out = df.join(carry, ["ticker", BLK])
-    if mode == "reference":
-        firsts = [
-            f"min_by({c}, case when {c} is not null then timestamp end) as _f_{c}" for c in columns
-        ]
-        out = out.join(df.groupBy("ticker").agg(*map(F.expr, firsts)), "ticker")
+    if instead:
+        having = instead[2].select("ticker").distinct().withColumn("_has", F.lit(True))
+        carry = carry.join(having, "ticker", "left")
     kinds = dict(df.dtypes)
 
-    def filled(c: str) -> str:
-        options = [c, f"_l_{c}"]
+    def options(c: str) -> str:
+        found = [c, f"_l_{c}"]
         if mode == "reference":
-            options.append(f"_f_{c}")
+            found.append(f"_f_{c}")
         if mode != "forward":
-            options.append(f"cast(0 as {kinds[c]})")
-        return f"coalesce({', '.join(options)}) as {c}"
+            found.append(f"cast(0 as {kinds[c]})")
+        return f"coalesce({', '.join(found)})"
+
+    def filled(c: str) -> str:
+        if instead and c == instead[0]:
+            return f"if(_has, {options(c)}, {options(instead[1])}) as {c}"
+        return f"{options(c)} as {c}"
 
-    return out.selectExpr(
+    return df.join(carry, ["ticker", BLK]).selectExpr(
         *(filled(c) if c in columns else c for c in df.columns)
     )
 

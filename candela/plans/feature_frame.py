@@ -75,13 +75,18 @@ def feature_frame(
         df = without_news(df)
     else:
         df = df.join(sentiment_window(keys, news), ["ticker", "timestamp"], "left")
+    instead = None
     if prices is None:
         df = df.withColumn("latest_price", F.col("close"))
     else:
         # A ticker without any snapshot is priced by its closes, as without a price source.
-        priced = prices.where(F.col("price").isNotNull()).groupBy("ticker").agg(F.lit(True).alias("_priced"))
-        price = F.when(F.col("_priced"), F.col("latest_price")).otherwise(F.col("close"))
-        df = exact_price(df, prices).join(priced, "ticker", "left").withColumn("latest_price", price).drop("_priced")
+        priced = prices.where(F.col("price").isNotNull())
+        df = exact_price(df, prices)
+        instead = ("latest_price", "close", priced)
+        if fill == "none":
+            closes = priced.select("ticker").distinct().withColumn("_priced", F.lit(True))
+            price = F.when(F.col("_priced"), F.col("latest_price")).otherwise(F.col("close"))
+            df = df.join(closes, "ticker", "left").withColumn("latest_price", price).drop("_priced")
     if fundamentals is None:
         df = df.withColumns({c: F.lit(None).cast("double") for c in reports})
     else:
@@ -116,7 +121,7 @@ def feature_frame(
         return df.where(F.col(KEEP)).select(*columns)
     sort = sort_order(FAMILIES)
     local = fill_within_blocks(df, [*columns, BLK], may_lack, sort)
-    return fill_across_blocks(materialize(local, "features"), may_lack, fill).select(*columns)
+    return fill_across_blocks(materialize(local, "features"), may_lack, fill, instead).select(*columns)
 
 
 def decompose(features: DataFrame) -> dict[str, DataFrame]:
