@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.words import blocks, small_batches
+from candela.llm.words import BLOCK_BYTES, SPACED, Words, blocks, small_batches
 from candela.session import materialize
 
 CELL_PIECES = 8192
@@ -34,6 +35,8 @@ EXCHANGED = 48
 FULL = 0.995
 #: Words whose ids a worker remembers.
 KNOWN_WORDS = 1_000_000
+#: Bytes of text whose different words are looked up together.
+TOKEN_BYTES = 4 * BLOCK_BYTES
 
 _tokenizers: dict[str, Tokens] = {}
 
@@ -48,33 +51,37 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         #: Texts of tokens that are matched before words are, as bytes.
         self.added = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Whether an id ends a word, for tokenizers that mark it; without marks words are encoded one by one.
+        vocabulary, mark = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closing = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if mark and token.endswith(mark)]] = True
         self.known: dict[bytes, bytes] = {}
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, new: list[bytes]) -> None:
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        new = list(words - self.known.keys()) if self.known else list(words)
         # A word of letters alone is one unit to the tokenizer; many are encoded as one text, unit by unit.
-        texts = [w.decode() for w in new]
-        plain = [w for w in texts if w.isalpha()]
-        for i in range(0, len(plain), 256):
-            part = plain[i : i + 256]
-            e = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            unit = np.array(e.word_ids, np.int64)
-            cuts = np.flatnonzero(np.diff(unit)) + 1
-            if len(cuts) + 1 != len(part):
-                self._one_by_one(part)
-                continue
-            raw = np.array(e.ids, "<u4").tobytes()
-            bounds = [0, *(4 * cuts).tolist(), len(raw)]
-            self.known.update((w.encode(), raw[x:y]) for w, x, y in zip(part, bounds, bounds[1:], strict=False))
-        self._one_by_one([w for w in texts if not w.isalpha()])
-
-    def _one_by_one(self, words: list[str]) -> None:
+        texts = b"\n".join(new).decode().split("\n") if new else []
+        alone = [t.isalpha() for t in texts]
+        plain, units = list(compress(texts, alone)), list(compress(new, alone))
+        cuts = range(0, len(plain), 256)
+        joined = [" ".join(plain[i : i + 256]) for i in cuts]
+        for i in range(0, len(joined), 16):
+            for k, e in enumerate(self.tokenizer.encode_batch_fast(joined[i : i + 16], add_special_tokens=False), i):
+                part, ids = units[cuts[k] : cuts[k] + 256], np.array(e.ids, "<u4")
+                stops = np.flatnonzero(self.closing[ids]) + 1
+                if len(stops) != len(part):
+                    self._one_by_one(part, plain[cuts[k] : cuts[k] + 256])
+                    continue
+                raw, stops = ids.tobytes(), (4 * stops).tolist()
+                self.known.update(zip(part, [raw[x:y] for x, y in zip([0, *stops], stops, strict=False)], strict=True))
+        rest = [not x for x in alone]
+        self._one_by_one(list(compress(new, rest)), list(compress(texts, rest)))
+
+    def _one_by_one(self, words: list[bytes], texts: list[str]) -> None:
         for i in range(0, len(words), 4096):
-            part = words[i : i + 4096]
-            for word, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word.encode()] = np.array(e.ids, "<u4").tobytes()
+            for word, e in zip(words[i : i + 4096], self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False), strict=True):
+                self.known[word] = np.array(e.ids, "<u4").tobytes()
 
     def whole(self, text: bytes) -> bytes:
         """Ids of a text that holds such a token; case is left aside in the test, which does no harm."""
@@ -87,8 +94,28 @@ class Tokens:
         rows = enumerate(zip(offsets.tolist(), offsets[1:].tolist(), strict=False))
         return {r: self.whole(raw[a:b]) for r, (a, b) in rows if any(t in low[a:b] for t in self.added)}
 
-    def ids(self, words: list[bytes]) -> bytes:
-        return b"".join(map(self.known.__getitem__, words))
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows side by side, where each row's begin and end). Each different word of the block is looked up once."""
+        w = Words(data, offsets, SPACED)
+        if not len(w.starts):
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        ends = np.concatenate([[0], np.cumsum(w.ends - w.starts)])
+        found = pa.Array.from_buffers(pa.large_binary(), len(w.starts), [None, pa.py_buffer(ends), pa.py_buffer(data[SPACED[data]])]).dictionary_encode()
+        code, (_, where, letters) = found.indices.to_numpy(), found.dictionary.buffers()
+        cuts, letters = np.frombuffer(where, np.int64, len(found.dictionary) + 1).tolist(), letters.to_pybytes()
+        words = [letters[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
+        parts = [self.known.get(word) for word in words]
+        new = [k for k, part in enumerate(parts) if part is None]
+        self.learn([words[k] for k in new])
+        for k in new:
+            parts[k] = self.known[words[k]]
+        table = np.frombuffer(b"".join(parts), "<u4")
+        stop = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) // 4)
+        size = np.diff(stop, prepend=0)[code]
+        upto = np.cumsum(size)
+        # The ids of a word stand in the table as far from their place in the block as its first one does.
+        where = np.repeat(stop[code] - upto, size) + np.arange(upto[-1])
+        return table[where], np.concatenate([[0], upto])[w.first]
 
 
 _LETTER = np.zeros(256, bool)
@@ -114,14 +141,16 @@ def _pieces(path: str, size: int, end: int):
         tokens, last = _tokenizers[path], np.array([end], "<u4").tobytes()
         for batch in batches:
             row_of, piece, start, length, crc = [], [], [], [], []
-            for row, data, offsets in blocks(batch.column("text")):
+            for row, data, offsets in blocks(batch.column("text"), TOKEN_BYTES):
                 special = tokens.with_added(data.tobytes(), offsets)
-                data, offsets = _parted(data, offsets)
-                raw = data.tobytes()
-                texts = [() if r in special else raw[a:b].split() for r, (a, b) in enumerate(zip(offsets, offsets[1:], strict=False))]
-                tokens.learn(set().union(*texts))
-                for r, words in enumerate(texts):
-                    ids = (special[r] if r in special else tokens.ids(words)) + last
+                if special:
+                    data = data.copy()
+                    for r in special:
+                        data[offsets[r] : offsets[r + 1]] = 0x20
+                flat, bounds = tokens.ids(*_parted(data, offsets))
+                raw, bounds = flat.tobytes(), (4 * bounds).tolist()
+                for r, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                    ids = special.get(r, raw[a:b]) + last
                     for k, at in enumerate(range(0, len(ids), 4 * size)):
                         part = ids[at : at + 4 * size]
                         row_of.append(row + r)

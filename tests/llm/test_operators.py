@@ -239,6 +239,31 @@ def test_added_tokens_are_those_of_the_plain_tokenizer(spark):
     assert {r.doc_id: r.ids_crc32 for r in got.collect()} == want
 
 
+def test_each_different_word_of_a_block_is_looked_up_once():
+    class Asked(dict):
+        times = 0
+
+        def get(self, key):
+            Asked.times += 1
+            return super().get(key)
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokens = packing.Tokens(path)
+    rows = ["İx a's ﬁn e\u0301a Straße, x", "", " \t ", " ".join(f"été{i % 40}" for i in range(3000)), "x1 日本語日本 ªº ʼn" * 30, prose(9, 300)]
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in rows])])
+    data, offsets = packing._parted(np.frombuffer("".join(rows).encode(), np.uint8), offsets)
+    tokens.known = Asked()
+    for _ in range(2):  # learned, then known
+        ids, bounds = tokens.ids(data, offsets)
+        got = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert got == [tokens.tokenizer.encode(t, add_special_tokens=False).ids for t in rows]
+    assert Asked.times == 2 * len({w for a, b in zip(offsets, offsets[1:]) for w in data[a:b].tobytes().split()})
+    # Without marks of word ends each word is encoded alone.
+    plain = packing.Tokens(path)
+    plain.closing[:] = False
+    assert plain.ids(data, offsets)[0].tolist() == ids.tolist()
+
+
 def cut_bins(seed, bins, capacity):
     """Pieces of full bins, each cut in two to four."""
     rng = np.random.default_rng(seed)
