@@ -34,7 +34,7 @@ EXCHANGED = 48
 #: Bins filled to less than this part go on to the next level.
 FULL = 0.995
 #: Words whose ids a worker remembers.
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 500_000
 #: Bytes of text whose different words are looked up together.
 TOKEN_BYTES = 4 * BLOCK_BYTES
 
@@ -58,8 +58,6 @@ class Tokens:
         self.known: dict[bytes, bytes] = {}
 
     def learn(self, new: list[bytes]) -> None:
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
         # A word of letters alone is one unit to the tokenizer; many are encoded as one text, unit by unit.
         texts = b"\n".join(new).decode().split("\n") if new else []
         alone = [t.isalpha() for t in texts]
@@ -106,6 +104,8 @@ class Tokens:
         words = [letters[x:y] for x, y in zip(cuts, cuts[1:], strict=False)]
         parts = [self.known.get(word) for word in words]
         new = [k for k, part in enumerate(parts) if part is None]
+        if len(self.known) > KNOWN_WORDS:  # words met again are worth keeping
+            self.known = {word: part for word, part in zip(words, parts, strict=True) if part is not None}
         self.learn([words[k] for k in new])
         for k in new:
             parts[k] = self.known[words[k]]

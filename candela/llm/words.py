@@ -16,6 +16,8 @@ from pyspark.sql import SparkSession
 BLOCK_BYTES = 1 << 20
 #: Bytes of the batches in which Spark hands rows to Python, whatever their number.
 BATCH_BYTES = 8 << 20
+#: Bytes whose words are hashed at once; one longer word is a part of its own.
+HASHED_BYTES = 1 << 18
 
 _rng = np.random.default_rng(20240229)
 _BYTE_VALUES = _rng.integers(1, 2**64, 256, dtype=np.uint64)
@@ -86,6 +88,8 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np
         stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
         yield row, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
         row = stop
+    # Workers live on; what Arrow keeps for later would be missed by the others of an executor.
+    pa.default_memory_pool().release_unused()
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
@@ -116,9 +120,16 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of every word."""
+        """A 64-bit hash of every word. Running sums take many times the text's bytes, so they run over a part of it at a time."""
         values = _BYTE_VALUES[_LOWER] if self.lower else _BYTE_VALUES
-        return mix(_runs(values[self.data], _BASE, self.starts, self.ends))
+        out, word = np.empty(len(self.starts), np.uint64), 0
+        while word < len(out):
+            begin = self.starts[word]
+            stop = max(word + 1, int(np.searchsorted(self.ends, begin + HASHED_BYTES, "right")))
+            part = self.data[begin : self.ends[stop - 1]]
+            out[word:stop] = _runs(values[part], _BASE, self.starts[word:stop] - begin, self.ends[word:stop] - begin)
+            word = stop
+        return mix(out)
 
     def text(self, first: int, stop: int) -> bytes:
         """Words first to stop joined by one space."""

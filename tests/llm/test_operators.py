@@ -3,13 +3,14 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
 import public_tokenizers
-from candela.llm import extract, language, ngram_join, packing, substrings
+from candela.llm import extract, language, ngram_join, packing, substrings, words
 from candela.llm.decontaminate import contamination
 from candela.llm.minhash import compare_with_next, near_copies
 from candela.llm.quality import quality
@@ -264,6 +265,34 @@ def test_each_different_word_of_a_block_is_looked_up_once():
     assert plain.ids(data, offsets)[0].tolist() == ids.tolist()
 
 
+def test_words_met_again_are_remembered(monkeypatch):
+    tokens = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 5)
+    for i in range(4):
+        text = f"the same words {' '.join(f'n{i}x{k}' for k in range(20))}"
+        ids, _ = tokens.ids(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        assert ids.tolist() == tokens.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(tokens.known) == 23 and b"words" in tokens.known
+
+
+def test_words_are_hashed_in_parts(monkeypatch):
+    rows = [prose(4, 250_000), "", " \t", "x" * 700_000, "One two", prose(5, 400_000) + " y"]
+    text = "".join(rows).encode()
+    data, offsets = np.frombuffer(text, np.uint8), np.concatenate([[0], np.cumsum([len(t.encode()) for t in rows])])
+    for lower in (False, True):
+        w = words.Words(data, offsets, words.SPACED, lower=lower)
+        w.hashes()  # tables of powers are kept
+        tracemalloc.start()
+        got = w.hashes()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        # Ten times the text, before.
+        assert peak < 32 * 700_000 + 3 * got.nbytes < 10 * len(text)
+        with monkeypatch.context() as m:
+            m.setattr(words, "HASHED_BYTES", len(text))
+            assert (w.hashes() == got).all()
+
+
 def cut_bins(seed, bins, capacity):
     """Pieces of full bins, each cut in two to four."""
     rng = np.random.default_rng(seed)
