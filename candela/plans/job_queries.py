@@ -181,12 +181,15 @@ def stream_sentiment(t):
     return jobs.latest_updates(t.spark.read.parquet(out), ["ticker", "timestamp"])
 
 
-def _landings(t, frames: list[DataFrame], label: str) -> DataFrame:
-    """Frames landed one after the other as a stream; each is a batch."""
+def _landings(t, frames: list[DataFrame], label: str, start) -> None:
+    """Frames landed one after the other, each in as many files as it has partitions, and taken in as one batch.
+
+    ``start`` starts the job on the landed files; it goes on from its checkpoint for each frame.
+    """
     path = new_path(t.spark, label)
     for frame in frames:
-        frame.coalesce(1).write.mode("append").parquet(path)
-    return t.spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+        frame.write.mode("append").parquet(path)
+        start(t.spark.readStream.schema(frames[0].schema).parquet(path)).awaitTermination()
 
 
 @query(
@@ -205,9 +208,8 @@ def stream_articles_moved(t):
         moved.where("uuid % 2 = 1").unionByName(moved.withColumn("uuid", F.col("uuid") + 1_000_000_000)),
         t.news_h,
     ]
-    out = new_path(t.spark, "articles")
-    source = _landings(t, frames, "moved")
-    jobs.append_articles(source, out, new_path(t.spark, "state"), once=True).awaitTermination()
+    out, state = new_path(t.spark, "articles"), new_path(t.spark, "state")
+    _landings(t, frames, "moved", lambda source: jobs.append_articles(source, out, state, once=True))
     return t.spark.read.parquet(out).drop("month")
 
 
@@ -225,10 +227,8 @@ def stream_sentiment_late(t):
     day = F.dayofyear("published_at")
     frames = [news.where((day % 5 == 4 - k) if k < 4 else (day % 5 == 0) & (F.col("uuid") % 2 == 0)) for k in range(5)]
     frames.append(news.where((day % 5 == 0) & (F.col("uuid") % 2 == 1)))
-    source = _landings(t, frames, "late")
-    out = new_path(t.spark, "rolling")
-    job = rolling.sentiment_tables(source, out, new_path(t.spark, "state"), every=2, once=True)
-    job.awaitTermination()
+    out, state = new_path(t.spark, "rolling"), new_path(t.spark, "state")
+    _landings(t, frames, "late", lambda source: rolling.sentiment_tables(source, out, state, every=2, once=True))
     return rolling.read_sentiment(t.spark, out, epochs=len(frames), every=2)
 
 
@@ -241,9 +241,9 @@ def stream_indicators(t):
     """Hourly bars land in four batches; each batch reads its own bars and a small state per ticker only."""
     quarter = F.ntile(4).over(Window.partitionBy("ticker").orderBy("timestamp"))
     bars = t.stored(t.bars_h.withColumn("part", quarter), "bars")
-    source = _landings(t, [bars.where(F.col("part") == k).drop("part") for k in (1, 2, 3, 4)], "live")
-    out = new_path(t.spark, "live")
-    jobs.write_updates(live.live_indicators(source), out, new_path(t.spark, "state"), once=True).awaitTermination()
+    out, state = new_path(t.spark, "live"), new_path(t.spark, "state")
+    frames = [bars.where(F.col("part") == k).drop("part") for k in (1, 2, 3, 4)]
+    _landings(t, frames, "live", lambda source: jobs.write_updates(live.live_indicators(source), out, state, once=True))
     return jobs.latest_updates(t.spark.read.parquet(out), ["ticker", "timestamp"]).select("ticker", "timestamp", *INDICATOR_COLUMNS)
 
 

@@ -133,3 +133,18 @@ def test_moments_keep_digits(spark):
         x = pdf[pdf.g.isin(groups)].x
         assert (row.m.rows, row.m.n) == (len(x), x.count())
         np.testing.assert_allclose(row.s, (x - 1e9).std(), rtol=1e-4)
+
+
+def test_a_landed_frame_of_many_files_is_one_batch(spark):
+    from types import SimpleNamespace
+
+    from candela.plans.job_queries import _landings
+
+    seen, state = [], new_path(spark, "state")
+
+    def start(source):
+        write = lambda batch, epoch: seen.append((epoch, batch.count()))
+        return source.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
+
+    _landings(SimpleNamespace(spark=spark), [spark.range(0, 90, 1, 3), spark.range(0, 40, 1, 4)], "many", start)
+    assert seen == [(0, 90), (1, 40)]
