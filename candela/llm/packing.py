@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.words import BLOCK_BYTES, SPACED, Words, blocks, small_batches
+from candela.llm.words import BLOCK_BYTES, SPACED, Words, blocks, give_back, small_batches
 from candela.session import materialize
 
 CELL_PIECES = 8192
@@ -33,7 +33,7 @@ PEOPLE = 12
 EXCHANGED = 48
 #: Bins filled to less than this part go on to the next level.
 FULL = 0.995
-#: Words whose ids a worker remembers.
+#: Words whose ids a task remembers.
 KNOWN_WORDS = 500_000
 #: Bytes of text whose different words are looked up together.
 TOKEN_BYTES = 4 * BLOCK_BYTES
@@ -161,6 +161,8 @@ def _pieces(path: str, size: int, end: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(row_of, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        tokens.known = {}
+        give_back()
 
     return run
 

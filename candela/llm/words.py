@@ -7,6 +7,7 @@ here are ASCII bytes, so UTF-8 can be cut byte by byte.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,8 @@ BLOCK_BYTES = 1 << 20
 BATCH_BYTES = 8 << 20
 #: Bytes whose words are hashed at once; one longer word is a part of its own.
 HASHED_BYTES = 1 << 18
+#: Words whose runs are hashed at once.
+HASHED_WORDS = 1 << 15
 
 _rng = np.random.default_rng(20240229)
 _BYTE_VALUES = _rng.integers(1, 2**64, 256, dtype=np.uint64)
@@ -49,7 +52,7 @@ def _power_tables(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             return np.multiply.accumulate(out)
 
         known = table(base), table(pow(base, -1, 2**64))
-        if size <= 4 * BLOCK_BYTES:
+        if size <= 2 * HASHED_BYTES:
             _powers[base] = known
     return known
 
@@ -73,6 +76,14 @@ def _runs(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -
     return (total[ends] - total[starts]) * inverse[starts]
 
 
+def give_back() -> None:
+    """Hand freed memory to the system: workers live on, and the others of an executor would miss it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.pythonapi, "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets of the rows in them) of consecutive rows; null texts are empty."""
     column = column.fill_null("") if column.null_count else column
@@ -88,8 +99,7 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, np
         stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
         yield row, data[offsets[row] : offsets[stop]], offsets[row : stop + 1] - offsets[row]
         row = stop
-    # Workers live on; what Arrow keeps for later would be missed by the others of an executor.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def small_batches(spark: SparkSession) -> SparkSession:
@@ -147,7 +157,13 @@ def grams(hashes: np.ndarray, first: np.ndarray, k: int, salt: int = 0) -> tuple
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     last = np.repeat(first[1:], np.diff(first))[:n]
     at = np.flatnonzero(np.arange(k, n + k) <= last)
-    return at, mix(_runs(hashes, _BASE ^ 0xABCDE0, at, at + k), salt * 1000 + k)
+    out, i = np.empty(len(at), np.uint64), 0
+    while i < len(at):  # as in Words.hashes
+        stop = int(np.searchsorted(at, at[i] + HASHED_WORDS))
+        starts = at[i:stop] - at[i]
+        out[i:stop] = _runs(hashes[at[i] : at[stop - 1] + k], _BASE ^ 0xABCDE0, starts, starts + k)
+        i = stop
+    return at, mix(out, salt * 1000 + k)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

@@ -300,6 +300,31 @@ def cut_bins(seed, bins, capacity):
     return rng.permutation(np.concatenate([np.diff([0, *c, capacity]) for c in cuts]))
 
 
+def test_runs_are_hashed_in_parts():
+    """Tables of powers stay small, whatever the number of words, and every run keeps its hash."""
+    rng = np.random.default_rng(12)
+    sizes = np.append(rng.integers(0, 60, 8000), [90_000, 0])
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    hashes = rng.integers(0, 2**63, first[-1]).astype(np.uint64)
+    base = words._BASE ^ 0xABCDE0
+    for k in (1, 5, 20):
+        at, got = words.grams(hashes, first, k)
+        weights = np.array([pow(base, i, 2**64) for i in range(k)], np.uint64)
+        sums = (np.lib.stride_tricks.sliding_window_view(hashes, k)[at] * weights).sum(1, dtype=np.uint64)
+        assert len(at) == np.maximum(sizes - k + 1, 0).sum() and (got == words.mix(sums, k)).all()
+    assert len(words._powers[base][0]) < 1 << 17
+
+
+def test_a_worker_keeps_no_words_after_its_task():
+    import pyarrow as pa
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    run = packing._pieces(path, 4096, 1)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one more word", "one"]})
+    first = [b.to_pydict() for b in run([batch])]
+    assert not packing._tokenizers[path].known and [b.to_pydict() for b in run([batch])] == first
+
+
 def test_breeding_beats_best_fit_decreasing():
     missed = reached = 0
     for seed in range(40):
