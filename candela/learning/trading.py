@@ -37,6 +37,9 @@ SIGNAL_PARAMS = {
 }
 HEAD_PARAMS = {"maxIter": 100, "stepSize": 0.05, "maxDepth": 5, "subsamplingRate": 0.8, "seed": 42}
 
+#: Training rows worth a task of their own.
+PART_ROWS = 8192
+
 
 class TradingModel:
     """Fitted on all tickers together; every head learns from the rows that concern it.
@@ -82,16 +85,22 @@ class TradingModel:
             max_position=self.max_position,
         )
 
+    def _parts(self, frame: DataFrame) -> DataFrame:
+        """Labels and ``is_validation``. The cut looks at times only, so it is found among bare rows, not labelled ones."""
+        return self.label(time_split(frame, self.validation, pooled=True))
+
     def fit(self, frame: DataFrame) -> TradingModel:
         """Label the frame, split by time and fit the heads on the earlier part."""
         frame = frame.drop("target")
         self.features = feature_columns(frame)
-        data = time_split(self.label(frame), self.validation, pooled=True).where(~F.col(VALIDATION))
+        data = self._parts(frame).where(~F.col(VALIDATION))
         assembler = VectorAssembler(
             inputCols=self.features, outputCol="features", handleInvalid="error"
         )
         rows = assembler.transform(data).select("features", *LABEL_COLUMNS)
-        rows = materialize(rows, "training")
+        # Every level of every tree is a job over all rows, as slow as its largest part; labelled blocks lie unevenly.
+        parts = min(rows.sparkSession.sparkContext.defaultParallelism, -(-frame.count() // PART_ROWS))
+        rows = materialize(rows.repartition(max(1, parts)), "training")
         wanted = {"signal": F.lit(True) if self.include_hold else F.col("signal") != HOLD}
         wanted |= {c: F.col(c) != 0 if c == "profit" else F.col(c) > 0 for c in HEADS}
         counts = rows.agg(F.count(F.lit(1)).alias("all"), *(F.count_if(w).alias(c) for c, w in wanted.items())).first()
@@ -146,7 +155,7 @@ class TradingModel:
 
     def scored(self, frame: DataFrame) -> DataFrame:
         """True labels next to ``pred_`` columns, for the metrics and the confusion matrix."""
-        labelled = time_split(self.label(frame.drop("target")), self.validation, pooled=True)
+        labelled = self._parts(frame.drop("target"))
         true = {c: f"true_{c}" for c in LABEL_COLUMNS}
         predicted = self.predict(labelled.withColumnsRenamed(true))
         return predicted.select(

@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 
+from candela.learning import trading
 from candela.learning.price import PriceModel
 from candela.learning.trading import TradingModel
 from candela.operators import clean
+from candela.operators.labels import time_split, trade_labels
+from candela.plans import job_queries
 from candela.plans.feature_frame import feature_frame
+from candela.plans.fixtures import Tables
 from candela.session import new_path, shared_dir
 
 FEW = {"maxIter": 3, "maxDepth": 3}
@@ -59,6 +63,42 @@ def test_trading_model(spark, bars, frame, tmp_path):
     assert one == two and len(one) == 3
 
 
+class Caught(Exception):
+    pass
+
+
+def test_training_rows_lie_evenly(spark, frame, monkeypatch):
+    """The cut is found among bare rows; the rows learned from are those before it, dealt evenly."""
+    cut_from = []
+
+    def caught(rows, label):
+        raise Caught(rows)
+
+    monkeypatch.setattr(trading, "time_split", lambda df, *a, **k: cut_from.append(df.columns) or time_split(df, *a, **k))
+    monkeypatch.setattr(trading, "materialize", caught)
+    monkeypatch.setattr(trading, "PART_ROWS", 100)
+    with pytest.raises(Caught) as found:
+        TradingModel().fit(frame)
+    rows = found.value.args[0]
+    sizes = rows.rdd.glom().map(len).collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= len(sizes)
+    assert "signal" not in cut_from[0]
+    plain = time_split(trade_labels(frame.drop("target")), pooled=True).where("not is_validation")
+    labels = lambda df: sorted(df.select(*trading.LABEL_COLUMNS).collect())
+    assert labels(rows) == labels(plain)
+
+
+def test_model_frames_take_prices_from_stored_bars(spark, monkeypatch):
+    """The events are not summed up into bars again for the prices."""
+    t, seen = Tables(spark, "/root/testdata/sf0.001"), []
+    monkeypatch.setattr(job_queries, "feature_frame", lambda bars, news, prices, *a, **k: seen.append(prices) or bars)
+    job_queries._train_frame(t)
+    job_queries._score_frame(t)
+    want = sorted(t.prices_h.collect())
+    for prices in seen:
+        assert sorted(prices.collect()) == want and not any("events.parquet" in f for f in prices.inputFiles())
+
+
 def test_hold_only_series_trains_on_everything(spark, bars):
     flat = bars.where("ticker = 'BBB'").withColumn("close", F.lit(5.0))
     model = TradingModel(signal_params=SMALL, head_params=FEW).fit(feature_frame(flat))
